@@ -60,13 +60,15 @@ def _typed(df: DataFrame) -> DataFrame:
 
 
 def load_customers(
-    spark: SparkSession, path: str, schema: T.StructType | None = None,
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None,
     tokens: Sequence[str] = NA_TOKENS,
 ) -> DataFrame:
     """A customer table from Parquet, or from CSV if the path ends in .csv.
 
     A schema makes the CSV read lazy; without one, a pass over the file settles the types.
     """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     try:
         if not path.lower().rstrip("/").endswith(".csv"):
             reader = spark.read if schema is None else spark.read.schema(schema)
