@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from holdfast.catalog.inputs import (
-    ALIASES, document_scores, labelled, rounded, scores, snapshot, with_documents, with_scores,
-    with_snapshot,
+    ALIASES, document_scores, labelled, rounded, scores, snapshot, stored_scores, stored_snapshot,
+    with_documents, with_scores, with_snapshot,
 )
 from holdfast.catalog.registry import query
 from holdfast.operators import cleaning, metrics, splitting
@@ -41,7 +41,7 @@ SELECT CustomerID, ranked.Churn, CASE WHEN r <= q THEN 'test' ELSE 'train' END A
 FROM ranked JOIN quota USING (Churn)""",
     _ranked("'42'"), _quota("quota", "cls", "CAST(0.2 AS DOUBLE)")))
 def _(spark, folder):
-    df = scores(spark, folder).select("CustomerID", "Churn")
+    df = stored_scores(spark, folder).select("CustomerID", "Churn")
     return splitting.holdout_split(df, "CustomerID", "Churn", 0.2, 42)
 
 
@@ -55,42 +55,48 @@ _THREE_WAY = (
 )
 
 
+THREE_WAY_SNAPSHOT = (_ranked("'42'", "snap"), *_THREE_WAY[1:])
+
+
 @query("e2_three_way_split", with_scores(
     "SELECT CustomerID, Churn, split FROM marked", *_THREE_WAY))
 def _(spark, folder):
-    df = scores(spark, folder).select("CustomerID", "Churn")
+    df = stored_scores(spark, folder).select("CustomerID", "Churn")
     return splitting.three_way_split(df, "CustomerID", "Churn", 0.2, 0.2, 42)
 
 
-@query("e3_stratified_folds", with_scores("""
-SELECT CustomerID, ranked.Churn, CAST(min(fold) AS INTEGER) AS fold
-FROM ranked JOIN ends ON ranked.Churn = ends.Churn AND r <= ends.upto
-GROUP BY CustomerID, ranked.Churn""",
+_FOLDS = (
     _ranked("'fold', '42'"), """
 starts AS (SELECT Churn, n, coalesce(sum(n) OVER (ORDER BY Churn ROWS BETWEEN UNBOUNDED PRECEDING
   AND 1 PRECEDING), 0) AS s FROM cls),
 sizes AS (SELECT Churn, (s + r - 1) % 5 AS fold, count(*) AS m
   FROM ranked JOIN starts USING (Churn) GROUP BY ALL),
-ends AS (SELECT Churn, fold, sum(m) OVER (PARTITION BY Churn ORDER BY fold) AS upto FROM sizes)"""))
+ends AS (SELECT Churn, fold, sum(m) OVER (PARTITION BY Churn ORDER BY fold) AS upto FROM sizes),
+folds AS (SELECT CustomerID, ranked.Churn, CAST(min(fold) AS INTEGER) AS fold
+  FROM ranked JOIN ends ON ranked.Churn = ends.Churn AND r <= ends.upto
+  GROUP BY CustomerID, ranked.Churn)""",
+)
+
+
+@query("e3_stratified_folds", with_scores("SELECT * FROM folds", *_FOLDS))
 def _(spark, folder):
-    df = scores(spark, folder).select("CustomerID", "Churn")
+    df = stored_scores(spark, folder).select("CustomerID", "Churn")
     return splitting.stratified_folds(df, "CustomerID", "Churn", 5, 42)
 
 
 @query("e4_inner_holdout", with_scores("""
-SELECT CustomerID, ranked.Churn, CASE WHEN r <= q THEN 'held' ELSE 'fit' END AS part
-FROM ranked JOIN quota USING (Churn)""",
-    """others AS (SELECT ranked.* EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY Churn
-      ORDER BY md5(concat_ws(':', CAST(CustomerID AS VARCHAR), '42')), CustomerID) AS r
-      FROM scores) AS ranked WHERE r > 100)""",
-    _ranked("'45'", "others"), _quota("quota", "cls", "CAST(0.2 AS DOUBLE)")))
+SELECT CustomerID, Churn, CASE WHEN place <= q THEN 'held' ELSE 'fit' END AS part
+FROM (SELECT *, row_number() OVER (PARTITION BY Churn
+  ORDER BY md5(concat_ws(':', CAST(CustomerID AS VARCHAR), '45')), CustomerID) AS place
+  FROM folds WHERE fold <> 3) JOIN (SELECT Churn, q FROM quota) USING (Churn)""",
+    *_FOLDS, "rest AS (SELECT Churn, count(*) AS n FROM folds WHERE fold <> 3 GROUP BY Churn)",
+    _quota("quota", "rest", "CAST(0.2 AS DOUBLE)")))
 def _(spark, folder):
-    df = scores(spark, folder).select("CustomerID", "Churn")
-    hashed = splitting.keyed_hash("CustomerID", 42)
-    cuts = splitting.hash_cuts(df, "Churn", hashed, {0: [100], 1: [100]})
-    beyond = F.when(F.col("Churn") == 0, hashed > cuts[0][0]).otherwise(hashed > cuts[1][0])
+    df = stored_scores(spark, folder).select("CustomerID", "Churn")
+    others = splitting.stratified_folds(df, "CustomerID", "Churn", 5, 42).filter("fold <> 3")
     return splitting.holdout_split(
-        df.filter(beyond), "CustomerID", "Churn", 0.2, 42 + 3, name="part", held="held", rest="fit"
+        others.drop("fold"), "CustomerID", "Churn", 0.2, 42 + 3, name="part", held="held",
+        rest="fit",
     )
 
 
@@ -107,14 +113,14 @@ def _(spark, folder):
 SELECT CustomerID, Churn, round((SELECT count(*) FROM scores) / (2.0::DOUBLE * n), 6) AS weight
 FROM scores JOIN (SELECT Churn, count(*) AS n FROM scores GROUP BY Churn) USING (Churn)"""))
 def _(spark, folder):
-    df = scores(spark, folder).select("CustomerID", "Churn")
+    df = stored_scores(spark, folder).select("CustomerID", "Churn")
     weights = splitting.balanced_weights(splitting.class_counts(df, "Churn"))
     return rounded(splitting.with_class_weight(df, "Churn", weights), "weight")
 
 
 def _prepared(spark, folder):
     cleaned = stage_table(
-        cleaning.clean(snapshot(spark, folder), "Churn", aliases=ALIASES), "cleaned"
+        cleaning.clean(stored_snapshot(spark, folder), "Churn", aliases=ALIASES), "cleaned"
     )
     return prepare_model_splits(cleaned, "Churn", 0.2, 0.2, 42)
 
@@ -131,8 +137,7 @@ SELECT CustomerID AS row_key, Churn, split,
   round(coalesce(Tenure, (SELECT median(Tenure) FROM marked WHERE split = 'train')), 6) AS Tenure,
   CAST(InCredit = 'Yes' AS DOUBLE) AS InCredit,
   CAST(Region = 'ASIA' AS DOUBLE) AS "Region_ASIA"
-FROM marked""",
-    _ranked("'42'", "snap"), *_THREE_WAY[1:]))
+FROM marked""", *THREE_WAY_SNAPSHOT))
 def _(spark, folder):
     return rounded(
         _prepared(spark, folder).frame.select(
@@ -162,14 +167,14 @@ auc AS (SELECT {lead}
 
 @query("g1_roc_auc", with_scores("SELECT round(roc_auc, 6) AS roc_auc FROM auc", _auc_sql("lp")))
 def _(spark, folder):
-    df = metrics.ranking_metrics(labelled(scores(spark, folder)))
+    df = metrics.ranking_metrics(labelled(stored_scores(spark, folder)))
     return rounded(df.select("roc_auc"), "roc_auc")
 
 
 @query("g2_average_precision", with_scores(
     "SELECT round(pr_auc, 6) AS pr_auc FROM auc", _auc_sql("lp")))
 def _(spark, folder):
-    df = metrics.ranking_metrics(labelled(scores(spark, folder)))
+    df = metrics.ranking_metrics(labelled(stored_scores(spark, folder)))
     return rounded(df.select("pr_auc"), "pr_auc")
 
 

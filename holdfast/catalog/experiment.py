@@ -254,29 +254,24 @@ def _(spark, folder):
 
 @query("j3_missing_outcomes", with_scores("""
 SELECT count(*) AS n_missing FROM assigned
-WHERE CustomerID NOT IN (SELECT CustomerID FROM outcomes WHERE CustomerID % 7 <> 0)""",
-    *_JOINED_SQL))
+WHERE CustomerID NOT IN (SELECT CustomerID FROM outcomes WHERE outcome = 0)""", *_JOINED_SQL))
 def _(spark, folder):
     assigned, outcomes = _stored_experiment(spark, folder)
-    return itt.missing_outcomes(
-        assigned,
-        outcomes.withColumn(
-            "outcome", F.when(F.col("CustomerID") % 7 != 0, F.col("outcome"))
-        ),
-    )
+    heard_of = outcomes.withColumn("outcome", F.when(F.col("outcome") == 0, 0))
+    return itt.missing_outcomes(assigned, heard_of)
 
 
 @query("j4_outcome_values", with_scores("""
-SELECT count(CASE WHEN o NOT IN (0, 1) THEN 1 END) AS n_not_binary,
+SELECT count(CASE WHEN outcome * 2 NOT IN (0, 1) THEN 1 END) AS n_not_binary,
   count(CASE WHEN treatment_group = 'treatment' THEN 1 END) AS n_treatment,
-  count(CASE WHEN treatment_group = 'control' THEN 1 END) AS n_control
-FROM (SELECT *, CASE WHEN CustomerID % 11 = 0 THEN 2 ELSE outcome END AS o FROM joined)""",
+  count(CASE WHEN treatment_group = 'control' THEN 1 END) AS n_control FROM joined""",
     *_JOINED_SQL))
 def _(spark, folder):
     assigned, outcomes = _stored_experiment(spark, folder)
-    odd = F.when(F.col("CustomerID") % 11 == 0, 2).otherwise(F.col("outcome"))
-    cells = itt.outcome_cells(assigned, outcomes.withColumn("outcome", odd))
-    return itt.input_profile(cells).select("n_not_binary", "n_treatment", "n_control")
+    doubled = outcomes.withColumn("outcome", F.col("outcome") * 2)
+    return itt.input_profile(itt.outcome_cells(assigned, doubled)).select(
+        "n_not_binary", "n_treatment", "n_control"
+    )
 
 
 def _effect_sql(by: str = "") -> str:

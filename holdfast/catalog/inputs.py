@@ -42,6 +42,11 @@ def snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return customer_snapshot(spark, folder)
 
 
+def stored_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshot as a stored table, for operators that read it more than once."""
+    return stage_table(snapshot(spark, folder), "snapshot")
+
+
 def coarse(spark: SparkSession, folder: str) -> DataFrame:
     """The columns in which customers repeat each other."""
     return snapshot(spark, folder).select(*COARSE)

@@ -5,11 +5,17 @@ The fits are kept short by parameters; the rows are whole tables.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.catalog.evaluation import THREE_WAY_SNAPSHOT
 from holdfast.catalog.inputs import (
-    ALIASES, SNAPSHOT_RULES, rounded, scores, snapshot, with_scores,
+    ALIASES, SNAPSHOT_RULES, rounded, scores, snapshot, with_scores, with_snapshot,
 )
 from holdfast.catalog.registry import query
 from holdfast.operators import calibration, cleaning, importance, models
@@ -23,6 +29,34 @@ from holdfast.session import stage_table, staging_path
 from holdfast.sources.bundles import RunBundle, load_bundle, new_run_id, runs_table, save_bundle
 from holdfast.sources.sinks import write_table
 
+
+@dataclass(frozen=True)
+class RecencyModel:
+    """A model that SQL can repeat: d / (d + 365), less a little for every order.
+
+    It reads the feature vector, so it stands wherever a fitted model stands.
+    """
+
+    days: int
+    orders: int
+
+    def score(self, df: DataFrame, out: str = "churn_probability") -> DataFrame:
+        vector = vector_to_array(models.FEATURES)
+        d, n = F.get(vector, F.lit(self.days)), F.get(vector, F.lit(self.orders))
+        return df.withColumn(out, d / (d + F.lit(365.0)) / (F.lit(1.0) + n / F.lit(100.0)))
+
+
+@dataclass(frozen=True)
+class AssembledRecencyModel:
+    """The same on separate columns, as scoring gives them."""
+
+    def score(self, df: DataFrame, out: str = "churn_probability") -> DataFrame:
+        vectors = VectorAssembler(
+            inputCols=["DaySinceLastOrder", "OrderCount"], outputCol=models.FEATURES
+        )
+        return RecencyModel(0, 1).score(vectors.transform(df), out)
+
+
 SHORT_FOREST = {"numTrees": 20, "maxDepth": 6}
 SHORT_BOOST = {"maxIter": 8}
 ROUNDS = 4
@@ -212,6 +246,70 @@ def _(spark, folder):
     )
 
 
+_FILLED = """
+filled AS (SELECT CustomerID, Churn AS y, coalesce(DaySinceLastOrder, m.d) AS d,
+  coalesce(CAST(OrderCount AS DOUBLE), m.n) AS n FROM snap, (
+    SELECT median(DaySinceLastOrder) AS d, median(CAST(OrderCount AS DOUBLE)) AS n FROM snap) m)"""
+_MODEL_SQL = "{d} / ({d} + 365.0::DOUBLE) / (1.0::DOUBLE + {n} / 100.0::DOUBLE)"
+
+
+@query("g18_importance_of_recency", with_snapshot("""
+SELECT feature, round(avg(base.ap - shuffled.ap), 6) AS importance_mean,
+  round(stddev_pop(base.ap - shuffled.ap), 6) AS importance_std
+FROM (SELECT feature, repeat, sum(pos::DOUBLE * tp / cnt) / max(np) AS ap FROM (
+    SELECT feature, repeat, p, sum(y) AS pos, sum(sum(y)) OVER w AS tp,
+      sum(count(*)) OVER w AS cnt, sum(sum(y)) OVER (PARTITION BY feature, repeat) AS np
+    FROM scored WHERE repeat > 0 GROUP BY feature, repeat, p
+    WINDOW w AS (PARTITION BY feature, repeat ORDER BY p DESC)) GROUP BY feature, repeat)
+    AS shuffled,
+  (SELECT sum(pos::DOUBLE * tp / cnt) / max(np) AS ap FROM (
+    SELECT p, sum(y) AS pos, sum(sum(y)) OVER w AS tp, sum(count(*)) OVER w AS cnt,
+      sum(sum(y)) OVER () AS np FROM scored WHERE repeat = 0 GROUP BY p
+    WINDOW w AS (ORDER BY p DESC))) AS base
+GROUP BY feature""", _FILLED, """
+circle AS (SELECT *, row_number() OVER w AS i,
+    coalesce(lead(d) OVER w, first_value(d) OVER w) AS d2,
+    coalesce(lead(n) OVER w, first_value(n) OVER w) AS n2
+  FROM (SELECT *, md5(concat_ws(':', CAST(CustomerID AS VARCHAR), 'shuffle',
+      CAST(repeat AS VARCHAR), '42')) AS h FROM filled, generate_series(1, 3) g(repeat))
+  WINDOW w AS (PARTITION BY repeat ORDER BY h, CustomerID)),
+scored AS (
+  SELECT 'DaySinceLastOrder' AS feature, repeat, y, """ + _MODEL_SQL.format(d="d2", n="n") + """
+    AS p FROM circle
+  UNION ALL SELECT 'OrderCount', repeat, y, """ + _MODEL_SQL.format(d="d", n="n2") + """
+    FROM circle
+  UNION ALL SELECT '', 0, y, """ + _MODEL_SQL.format(d="d", n="n") + " FROM filled)"))
+def _(spark, folder):
+    features = ["DaySinceLastOrder", "OrderCount"]
+    df = stage_table(
+        snapshot(spark, folder).select("CustomerID", "Churn", *features), "recency"
+    )
+    filled = cleaning.apply_medians(df, cleaning.fit_medians(df, features))
+    rows = stage_table(models.assemble(filled, features, "Churn", "CustomerID"), "rows")
+    table = importance.permutation_importance(
+        RecencyModel(0, 1), rows, features, "CustomerID", repeats=3
+    )
+    return rounded(table, "importance_mean", "importance_std")
+
+
+@query("h1_score_with_recency", with_snapshot(f"""
+SELECT CustomerID, round(p, 6) AS churn_probability, CAST(p >= 0.2::DOUBLE AS INTEGER)
+  AS churn_prediction
+FROM (SELECT CustomerID, {_MODEL_SQL.format(d="d", n="n")} AS p FROM (
+  SELECT CustomerID, coalesce(DaySinceLastOrder, m.d) AS d,
+    coalesce(CAST(OrderCount AS DOUBLE), m.n) AS n
+  FROM snap, (SELECT median(DaySinceLastOrder) AS d, median(CAST(OrderCount AS DOUBLE)) AS n
+    FROM marked WHERE split = 'train') m))""", *THREE_WAY_SNAPSHOT))
+def _(spark, folder):
+    raw = stage_table(snapshot(spark, folder), "raw")
+    prepared = prepare_model_splits(cleaning.clean(raw, "Churn", aliases=ALIASES), "Churn")
+    scored = score_batch(
+        raw.drop("Churn"), AssembledRecencyModel(), prepared.schema, prepared.medians, 0.2,
+        aliases=ALIASES,
+    )
+    return rounded(scored, "churn_probability")
+
+
 @query("g19_top_drivers")
 def _(spark, folder):
     prepared = _prepared(spark, folder)

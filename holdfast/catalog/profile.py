@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from holdfast.catalog.inputs import ALIASES, NUMBERS, REGIONS, rounded, snapshot, with_snapshot
+from holdfast.catalog.inputs import ALIASES, NUMBERS, REGIONS, rounded, snapshot, stored_snapshot, with_snapshot
 from holdfast.catalog.registry import query
 from holdfast.operators import cleaning, encoding, profiling
 
@@ -89,7 +89,7 @@ def _(spark, folder):
     "round(quantile_cont(v, 0.75), 6) AS p75, round(max(v), 6) AS max "
     f"FROM (SELECT CAST({c} AS DOUBLE) AS v FROM snap)" for c in _NUMERIC)))
 def _(spark, folder):
-    df = profiling.describe_numbers(snapshot(spark, folder), _NUMERIC)
+    df = profiling.describe_numbers(stored_snapshot(spark, folder), _NUMERIC)
     return rounded(df, "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from holdfast.catalog.inputs import (
     ALIASES, COARSE, NUMBERS, REGIONS, SEGMENTS, SNAPSHOT_RULES, TYPES, coarse, quoted, rounded,
-    scores, snapshot, stored_scores, with_scores, with_snapshot,
+    scores, snapshot, stored_snapshot, with_scores, with_snapshot,
 )
 from holdfast.catalog.registry import query
 from holdfast.operators import cleaning, encoding, quality
@@ -75,7 +75,7 @@ _ENCODED_SQL = ", ".join([
 
 
 def _encoded(spark, folder):
-    df = cleaning.set_ids_aside(snapshot(spark, folder))
+    df = cleaning.set_ids_aside(stored_snapshot(spark, folder))
     return encoding.apply_feature_schema(df, encoding.fit_feature_schema(df, "Churn"))
 
 
@@ -231,14 +231,12 @@ def _(spark, folder):
 
 @query("c3_map_target", with_snapshot("""
 SELECT CustomerID, CASE trim(answer) WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS answer FROM (
-  SELECT CustomerID, CASE CustomerID % 4 WHEN 0 THEN ' ' || InCredit || ' ' WHEN 1 THEN 'yes'
+  SELECT CustomerID, CASE Region WHEN 'ASIA' THEN ' ' || InCredit || ' ' WHEN 'AFRICA' THEN 'yes'
     ELSE InCredit END AS answer FROM snap)"""))
 def _(spark, folder):
-    kind = F.col("CustomerID") % 4
-    padded = F.when(kind == 0, F.concat(F.lit(" "), "InCredit", F.lit(" ")))
-    df = snapshot(spark, folder).select(
-        "CustomerID", padded.when(kind == 1, "yes").otherwise(F.col("InCredit")).alias("answer")
-    )
+    padded = F.when(F.col("Region") == "ASIA", F.concat(F.lit(" "), "InCredit", F.lit(" ")))
+    answer = padded.when(F.col("Region") == "AFRICA", "yes").otherwise(F.col("InCredit"))
+    df = snapshot(spark, folder).select("CustomerID", answer.alias("answer"))
     return cleaning.map_target(df, "answer")
 
 
@@ -258,7 +256,7 @@ SELECT column_name, n_missing FROM (""" + " UNION ALL ".join(
     f"SELECT '{c}_missing' AS column_name, count(*) - count({c}) AS n_missing FROM snap"
     for c in NUMBERS) + ") WHERE n_missing > 0"))
 def _(spark, folder):
-    df = cleaning.set_ids_aside(snapshot(spark, folder))
+    df = cleaning.set_ids_aside(stored_snapshot(spark, folder))
     found = cleaning.fit_missing_columns(df, "Churn")
     marked = cleaning.add_missing_indicators(df, found)
     return marked.select(F.explode(F.array(*[
@@ -287,7 +285,7 @@ def _(spark, folder):
     f"SELECT '{c}' AS column_name, round(median(CAST({c} AS DOUBLE)), 6) AS median FROM snap"
     for c in ("Churn", *NUMBERS))))
 def _(spark, folder):
-    df = snapshot(spark, folder)
+    df = stored_snapshot(spark, folder)
     medians = cleaning.fit_medians(df, ["Churn", *NUMBERS])
     return rounded(
         spark.createDataFrame(list(medians.items()), "column_name string, median double"),
@@ -318,7 +316,7 @@ _MEDIANS_SQL = "med AS (SELECT " + ", ".join(
         f"round(coalesce(CAST({c} AS DOUBLE), m_{c}), 6) AS {c}" for c in NUMBERS)
     + " FROM snap, med", _MEDIANS_SQL))
 def _(spark, folder):
-    df = snapshot(spark, folder).select("CustomerID", *NUMBERS)
+    df = stored_snapshot(spark, folder).select("CustomerID", *NUMBERS)
     imputed, _ = cleaning.impute_numeric(df, skip=("CustomerID",))
     return rounded(imputed, *NUMBERS)
 
@@ -350,7 +348,7 @@ SELECT 'InCredit' AS column_name, InCredit AS value,
   CAST(row_number() OVER (ORDER BY InCredit) - 1 AS INTEGER) AS code
 FROM (SELECT DISTINCT InCredit FROM snap)"""))
 def _(spark, folder):
-    schema = encoding.fit_feature_schema(snapshot(spark, folder).drop("CustomerID"), "Churn")
+    schema = encoding.fit_feature_schema(stored_snapshot(spark, folder).drop("CustomerID"), "Churn")
     rows = [(c, v, code) for c, m in schema.binary.items() for v, code in m.items()]
     return spark.createDataFrame(rows, "column_name string, value string, code int")
 
@@ -363,7 +361,7 @@ _TEXT = ("MarketSegment", "Region", "PreferedOrderCat")
     f"AS INTEGER) AS position FROM (SELECT DISTINCT {c} FROM snap WHERE {c} IS NOT NULL)"
     for c in _TEXT)))
 def _(spark, folder):
-    schema = encoding.fit_feature_schema(snapshot(spark, folder).drop("CustomerID"), "Churn")
+    schema = encoding.fit_feature_schema(stored_snapshot(spark, folder).drop("CustomerID"), "Churn")
     rows = [(c, v, i) for c, vs in schema.multi.items() for i, v in enumerate(vs)]
     return spark.createDataFrame(rows, "column_name string, value string, position int")
 
@@ -381,7 +379,7 @@ _ORDER = ["InCredit", *NUMBERS] + [
     + " UNION ALL ".join(
         f"SELECT '{c}_' || {c} FROM snap WHERE {c} IS NOT NULL" for c in _TEXT) + ")"))
 def _(spark, folder):
-    schema = encoding.fit_feature_schema(snapshot(spark, folder).drop("CustomerID"), "Churn")
+    schema = encoding.fit_feature_schema(stored_snapshot(spark, folder).drop("CustomerID"), "Churn")
     return spark.createDataFrame(list(enumerate(schema.feature_columns)),
                                  "position int, feature string")
 
@@ -389,13 +387,13 @@ def _(spark, folder):
 @query("d4_encode_binary", with_snapshot("""
 SELECT CustomerID, CAST(InCredit = 'Yes' AS INTEGER) AS InCredit,
   CAST(coalesce(answer = 'Yes', false) AS INTEGER) AS answer FROM (
-  SELECT *, CASE CustomerID % 3 WHEN 0 THEN NULL WHEN 1 THEN 'Maybe' ELSE InCredit END AS answer
-  FROM snap)"""))
+  SELECT *, CASE Region WHEN 'ASIA' THEN NULL WHEN 'AFRICA' THEN 'Maybe' ELSE InCredit END
+  AS answer FROM snap)"""))
 def _(spark, folder):
-    kind = F.col("CustomerID") % 3
-    df = snapshot(spark, folder).withColumn(
-        "answer", F.when(kind == 1, "Maybe").when(kind == 2, F.col("InCredit"))
+    answer = F.when(F.col("Region") == "AFRICA", "Maybe").when(
+        F.col("Region") != "ASIA", F.col("InCredit")
     )
+    df = snapshot(spark, folder).withColumn("answer", answer)
     codes = {"No": 0, "Yes": 1}
     return df.select(
         "CustomerID", encoding.encode_binary("InCredit", codes).alias("InCredit"),
@@ -407,7 +405,7 @@ def _(spark, folder):
 SELECT 'InCredit' AS column_name, 'N' AS value, count(*) AS n FROM snap
 WHERE InCredit = 'No' HAVING count(*) > 0"""))
 def _(spark, folder):
-    df = snapshot(spark, folder).drop("CustomerID")
+    df = stored_snapshot(spark, folder).drop("CustomerID")
     schema = encoding.fit_feature_schema(df, "Churn")
     drifted = df.replace({"No": "N"}, subset=["InCredit"])
     return encoding.unseen_binary_values(drifted, schema)
@@ -418,7 +416,7 @@ def _(spark, folder):
         _dummies_sql(SEGMENTS, "MarketSegment"), _dummies_sql(REGIONS, "Region"),
         _dummies_sql(TYPES, "PreferedOrderCat")]) + " FROM snap"))
 def _(spark, folder):
-    df = snapshot(spark, folder)
+    df = stored_snapshot(spark, folder)
     values = encoding.distinct_values(df, list(_TEXT))
     return df.select("CustomerID", *[
         encoding.encode_dummy(c, v).alias(encoding.dummy_name(c, v))
@@ -430,7 +428,7 @@ def _(spark, folder):
     "SELECT Churn, CustomerID AS row_key, " + _ENCODED_SQL.replace(
         "CashbackAmount", "CAST(0 AS INTEGER) AS CashbackAmount") + " FROM snap"))
 def _(spark, folder):
-    df = cleaning.set_ids_aside(snapshot(spark, folder))
+    df = cleaning.set_ids_aside(stored_snapshot(spark, folder))
     schema = encoding.fit_feature_schema(df, "Churn")
     batch = df.drop("CashbackAmount").withColumn("Extra", F.lit(1))
     return encoding.apply_feature_schema(batch, schema)
@@ -451,7 +449,7 @@ SELECT row_key, Churn, CAST(InCredit = 'Yes' AS DOUBLE) AS InCredit,
                   ("Region", REGIONS)) for v in vs[1:])
     + " FROM cleaned, (SELECT median(CAST(OrderCount AS DOUBLE)) AS m FROM cleaned)", _CLEAN_SQL))
 def _(spark, folder):
-    out = prepare_table(coarse(spark, folder), "Churn", aliases=ALIASES).features
+    out = prepare_table(stage_table(coarse(spark, folder), "coarse"), "Churn", aliases=ALIASES).features
     flag = F.col("OrderCount_missing") if "OrderCount_missing" in out.columns else F.lit(0.0)
     return out.withColumns({
         "InCredit": F.col("InCredit").cast("double"), "OrderCount_missing": flag

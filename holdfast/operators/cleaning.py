@@ -95,17 +95,18 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
     features = [c for c in df.columns if c != ROW_KEY]
     if ROW_KEY in df.columns:
         return df.groupBy(*features).agg(F.min(ROW_KEY).alias(ROW_KEY))
-    return df.dropDuplicates().withColumn(ROW_KEY, content_hash(features))
+    return df.dropDuplicates().withColumn(ROW_KEY, content_hash(df, features))
 
 
-def content_hash(columns: Sequence[str]) -> Column:
-    """md5 of the columns as text. Nulls get a token, and separators inside values are escaped."""
-    parts = [
-        F.coalesce(
-            F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1"), F.lit("\\N")
-        )
-        for c in columns
-    ]
+def content_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """md5 of the columns as text. Nulls get a token, and separators inside texts are escaped."""
+    text = set(text_columns(df))
+    parts = []
+    for c in columns:
+        value = F.col(c).cast("string")
+        if c in text:
+            value = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        parts.append(F.coalesce(value, F.lit("\\N")))
     return F.md5(F.concat_ws("|", *parts))
 
 

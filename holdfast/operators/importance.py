@@ -26,6 +26,10 @@ def with_donors(df: DataFrame, key: str, values: str, repeats: int, seed: int) -
     copies = df.withColumn("repeat", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
     copies = copies.withColumn("__h", keyed_hash(key, "shuffle", F.col("repeat"), seed))
     copies = copies.withColumn("__b", F.floor(unit_interval("__h") * F.lit(n)).cast("int"))
+    # The windows' own exchange, with its number of partitions pinned: the rows are few bytes but
+    # each one costs many predictions, so they must not be coalesced by size.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = copies.repartition(parts, "repeat", "__b")
     around = Window.partitionBy("repeat").orderBy("__b")
     whole = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = copies.groupBy("repeat", "__b").agg(

@@ -39,7 +39,10 @@ def score_curve(
         _positives(label).alias("pos"),
         (F.count(F.lit(1)) - _positives(label)).alias("neg"),
     )
-    work = with_edges(points.withColumn("__v", -F.col("score")), points, -F.col("score"), by, n)
+    # The edges look at the counts as well, which keeps the three readers of ``points`` alike: they
+    # share its exchange, and the scores are computed once.
+    seen = F.when(F.col("pos") + F.col("neg") > 0, -F.col("score"))
+    work = with_edges(points.withColumn("__v", -F.col("score")), points, seen, by, n)
     work = work.withColumn(
         "__b", edges_below(F.col("__edges"), F.col("__v"), n - 1).cast("int")
     ).drop("__edges")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DISTINCT_LIMIT = 100_000
+DISTINCT_LIMIT = 20_000
 _ACCURACY = 10_000
 
 

@@ -115,8 +115,13 @@ def describe_numbers(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 
 
 def _correlation(a: str, b: str) -> Column:
-    c = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
-    return F.when(~F.isnan(c), c)
+    """Over the rows where both are known; null if either does not vary there.
+
+    Built from the covariance, because ``corr`` itself fails on a column without variation.
+    """
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None

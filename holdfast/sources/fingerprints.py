@@ -22,6 +22,6 @@ def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> Da
         number = F.conv(F.substring("h", start, 8), 16, 10).cast("decimal(20,0)")
         return F.coalesce(F.sum(number), F.lit(0)).cast("decimal(38,0)").cast("string")
 
-    return df.select(content_hash(columns).alias("h")).agg(
+    return df.select(content_hash(df, columns).alias("h")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", lane(1), lane(9)).alias("digest")
     )
