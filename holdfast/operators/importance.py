@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.keyed import keyed_hash, unit_interval
-from holdfast.operators.metrics import ranking_metrics
+from holdfast.operators.metrics import (
+    curve_areas, ranking_metrics, score_curve, score_points,
+)
 from holdfast.operators.models import FEATURES, LABEL, ScoringModel
 from holdfast.operators.ranking import bounded_broadcast, bucket_count
+from holdfast.session import stage_table
 
 
 def with_donors(df: DataFrame, key: str, values: str, repeats: int, seed: int) -> DataFrame:
@@ -64,8 +67,8 @@ def permutation_importance(
     """(feature, importance_mean, importance_std) over the repeats, for (key, label, features) rows.
 
     As is usual, one shuffled order per repeat serves all features. A row becomes its
-    features x repeats variants only after that exchange, right before the model, and the scores are
-    combined per (feature, repeat).
+    features x repeats variants only after that exchange, right before the model; the scores are
+    combined per (feature, repeat) and stored, so every variant is predicted once.
     """
     names = F.array(*[F.lit(f) for f in features])
     plain = model.score(df, "probability")
@@ -80,9 +83,10 @@ def permutation_importance(
         )
         .select(key, LABEL, "repeat", "feature_no", FEATURES)
     )
-    shuffled = ranking_metrics(
-        model.score(variants, "probability"), LABEL, "probability",
-        by=["feature_no", "repeat"], groups=len(features) * repeats,
+    by = ["feature_no", "repeat"]
+    points = score_points(model.score(variants, "probability"), LABEL, "probability", by)
+    shuffled = curve_areas(
+        score_curve(stage_table(points, "importance-points"), by, len(features) * repeats), by
     )
     drop = base.scalar() - F.col("pr_auc")
     return (

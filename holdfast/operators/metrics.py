@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.arithmetic import edges_below, ratio_or_zero, round_half_even
-from holdfast.operators.ranking import bounded_broadcast, bucket_count, with_edges
+from holdfast.operators.ranking import bounded_broadcast, bucket_count, quantile_edges
 
 OBJECTIVES = ("cost", "precision", "recall", "f1")
 CALIBRATION_ALARM = 0.05
@@ -23,29 +23,29 @@ def _positives(label: str) -> Column:
     return F.count(F.when(F.col(label) == 1, 1))
 
 
-def score_curve(
-    df: DataFrame, label: str = "label", score: str = "probability", by: Sequence[str] = (),
-    groups: int | None = None,
+def score_points(
+    df: DataFrame, label: str = "label", score: str = "probability", by: Sequence[str] = ()
 ) -> DataFrame:
-    """(by, score, pos, neg, tp, fp, total_pos, total_neg) per distinct score.
+    """(by, score, pos, neg): rows of equal score combined."""
+    return df.groupBy(*by, F.col(score).alias("score")).agg(
+        _positives(label).alias("pos"),
+        (F.count(F.lit(1)) - _positives(label)).alias("neg"),
+    )
+
+
+def score_curve(points: DataFrame, by: Sequence[str] = (), groups: int | None = None
+                ) -> DataFrame:
+    """Add tp, fp, total_pos and total_neg to score points.
 
     ``tp`` and ``fp`` count the rows scored at least as high. They are running totals over the
     whole table: totals per bucket of scores, a running sum over the buckets, and windows inside
-    them.
+    them. The points are read three times.
     """
     groups = groups if by else 1
-    n = bucket_count(df.sparkSession, groups)
-    points = df.groupBy(*by, F.col(score).alias("score")).agg(
-        _positives(label).alias("pos"),
-        (F.count(F.lit(1)) - _positives(label)).alias("neg"),
-    )
-    # The edges look at the counts as well, which keeps the three readers of ``points`` alike: they
-    # share its exchange, and the scores are computed once.
-    seen = F.when(F.col("pos") + F.col("neg") > 0, -F.col("score"))
-    work = with_edges(points.withColumn("__v", -F.col("score")), points, seen, by, n)
-    work = work.withColumn(
-        "__b", edges_below(F.col("__edges"), F.col("__v"), n - 1).cast("int")
-    ).drop("__edges")
+    n = bucket_count(points.sparkSession, groups)
+    work = points.withColumn("__v", -F.col("score"))
+    edges = quantile_edges(work, F.col("__v"), n)
+    work = work.withColumn("__b", edges_below(edges, F.col("__v"), n - 1).cast("int"))
     ordered = Window.partitionBy(*by).orderBy("__b")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -76,12 +76,16 @@ def ranking_metrics(
     df: DataFrame, label: str = "label", score: str = "probability", by: Sequence[str] = (),
     groups: int | None = None,
 ) -> DataFrame:
-    """(by, roc_auc, pr_auc), exact and tie-aware.
+    """(by, roc_auc, pr_auc), exact and tie-aware; the scores should be stored.
 
     PR-AUC is average precision, the step sum over distinct scores. ROC-AUC is null when a class is
     missing; average precision is 0 without positives.
     """
-    curve = score_curve(df, label, score, by, groups)
+    return curve_areas(score_curve(score_points(df, label, score, by), by, groups), by)
+
+
+def curve_areas(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by, roc_auc, pr_auc) of a score curve."""
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("pos", "neg", "tp", "fp"))
     area = F.sum(neg * (tp - pos / F.lit(2.0)))
     total_pos = F.max("total_pos").cast("double")

@@ -35,17 +35,20 @@ def bounded_broadcast(df: DataFrame, groups: int | None) -> DataFrame:
     return F.broadcast(df) if groups is not None and groups <= MAX_BUCKETS else df
 
 
-def with_edges(df: DataFrame, source: DataFrame, value: Column, by: Sequence[str], n: int,
-               name: str = "__edges") -> DataFrame:
-    """Add the ``n - 1`` inner quantiles of ``value`` over ``source``, per group if ``by`` is given.
+def quantile_edges(df: DataFrame, value: Column, n: int) -> Column:
+    """The ``n - 1`` inner quantiles of ``value``, fixed as a literal array.
 
-    Without groups they come from a scalar subquery; with groups from a join to one row per group.
+    A sketch may come out a little different each time it is computed, so it is computed once, here,
+    and not inside the plan: counts and ranks must see the same buckets even if a lost executor has
+    its work repeated. Groups need no edges of their own: a bucket of the whole table bounds every
+    group's part of it.
     """
-    fractions = [i / n for i in range(1, n)] or [0.5]
-    sketch = F.percentile_approx(value, fractions, _SKETCH_ACCURACY)
-    if not by:
-        return df.withColumn(name, source.agg(sketch.alias(name)).scalar())
-    return df.join(source.groupBy(*by).agg(sketch.alias(name)), list(by))
+    fractions = [i / n for i in range(1, n)]
+    found = None
+    if fractions:
+        sketch = F.percentile_approx(value.cast("double"), fractions, _SKETCH_ACCURACY)
+        found = df.agg(sketch.alias("edges")).first()["edges"]
+    return F.array(*[F.lit(e) for e in found or []]).cast("array<double>")
 
 
 def with_global_rank(
@@ -64,7 +67,8 @@ def with_global_rank(
     Without ``value`` the order is that of the hash alone, a random order, and the buckets are
     equal slices of the hash range. With ``value`` they lie between its quantiles; a value heavy
     enough to cover several quantiles is spread over that many buckets by the hash, so ties of any
-    size are split as well. ``groups`` is the number of groups, if known.
+    size are split as well. ``groups`` is the number of groups, if known. The rows are read three
+    times (quantiles, counts, ranks): give them as a stored table.
     """
     groups = groups if by else 1
     n = bucket_count(df.sparkSession, groups)
@@ -75,17 +79,16 @@ def with_global_rank(
         work = work.withColumn("__b", F.floor(share * F.lit(n)).cast("int"))
     else:
         work = work.withColumn("__v", -value if descending else value)
-        work = with_edges(work, work, F.col("__v"), by, n)
-        below = edges_below(F.col("__edges"), F.col("__v"), n - 1)
-        upto = edges_below(F.col("__edges"), F.col("__v"), n - 1, inclusive=True)
+        edges = quantile_edges(work, F.col("__v"), n)
+        low = edges_below(edges, F.col("__v"), n - 1)
+        high = edges_below(edges, F.col("__v"), n - 1, inclusive=True)
         work = (
-            work.withColumn("__lo", below)
-            .withColumn("__hi", upto)
+            work.withColumns({"__lo": low, "__hi": high})
             .withColumn(
                 "__b",
                 (F.col("__lo") + F.floor(share * (F.col("__hi") - F.col("__lo") + 1))).cast("int"),
             )
-            .drop("__edges", "__lo", "__hi")
+            .drop("__lo", "__hi")
         )
         order = [F.col("__v"), *order]
 
