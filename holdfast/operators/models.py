@@ -7,7 +7,9 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -20,6 +22,33 @@ LABEL, FEATURES, WEIGHT = "label", "features", "weight"
 PATIENCE = 50
 
 
+class _TreesOnRequest:
+    """``trees`` as a plain property. As a cached property it is evaluated when the parameters of a
+    fresh model are listed, which fetches every tree to the driver one call at a time."""
+
+    @property
+    def trees(self):
+        return super().trees
+
+
+class ForestModel(_TreesOnRequest, RandomForestClassificationModel):
+    pass
+
+
+class BoostedModel(_TreesOnRequest, GBTClassificationModel):
+    pass
+
+
+class Forest(RandomForestClassifier):
+    def _create_model(self, java_model):
+        return ForestModel(java_model)
+
+
+class Boosted(GBTClassifier):
+    def _create_model(self, java_model):
+        return BoostedModel(java_model)
+
+
 def _positive_ratio(counts: Mapping[object, int]) -> dict[object, float]:
     return {0: 1.0, 1: counts.get(0, 0) / max(counts.get(1, 0), 1)}
 
@@ -44,14 +73,14 @@ class Candidate:
 
 
 def _forest(seed: int) -> Estimator:
-    return RandomForestClassifier(
+    return Forest(
         featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
         numTrees=400, maxDepth=12, featureSubsetStrategy="sqrt",
     )
 
 
 def _boosted(seed: int, **params: object) -> Estimator:
-    return GBTClassifier(
+    return Boosted(
         featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
         maxIter=2000, stepSize=0.05, **params,
     )
