@@ -83,6 +83,16 @@ def _short(name: str) -> models.Candidate:
     )
 
 
+def _in_range(column: str):
+    """Whether a probability is one; SQL cannot repeat the fit but knows the answer."""
+    return F.col(column).between(0.0, 1.0).alias("valid")
+
+
+_TEST_SQL = with_snapshot("""
+SELECT CustomerID AS row_key, Churn AS label, true AS valid FROM marked WHERE split = 'test'""",
+    *THREE_WAY_SNAPSHOT)
+
+
 def _tested(spark, folder, name):
     """Fit on train, stop on validation, report on test."""
     prepared = _prepared(spark, folder)
@@ -125,12 +135,12 @@ def _(spark, folder):
     )
 
 
-@query("f6_positive_probability")
+@query("f6_positive_probability", _TEST_SQL)
 def _(spark, folder):
     prepared = _prepared(spark, folder)
     model, _, _ = _fitted(prepared)
     return models.raw_scores(model, _rows(prepared, "test"), "probability_of_churn").select(
-        ROW_KEY, LABEL, "probability_of_churn"
+        ROW_KEY, LABEL, _in_range("probability_of_churn")
     )
 
 
@@ -156,11 +166,25 @@ def _(spark, folder):
     return rounded(out, "calibrated")
 
 
-@query("f8_sigmoid_calibration")
+@query("f8_sigmoid_calibration", with_scores("""
+SELECT count(*) AS n_rows, 0.0::DOUBLE AS mean_gap, 0.0::DOUBLE AS mean_weighted_gap FROM scores"""))
 def _(spark, folder):
+    """At the best sigmoid the smoothed targets and the fit agree on average, also when weighted by
+    the score."""
     df = stage_table(scores(spark, folder), "scores")
     fitted = calibration.fit_calibrator(df, "sigmoid", "churn_probability", "Churn")
-    return fitted.apply(df, "churn_probability", "calibrated").select("CustomerID", "calibrated")
+    n = df.agg(
+        F.sum(F.col("Churn").cast("double")).alias("p"), F.count(F.lit(1)).alias("n")
+    ).first()
+    target = F.when(F.col("Churn") == 1, (n["p"] + 1) / (n["p"] + 2)).otherwise(
+        1 / (n["n"] - n["p"] + 2)
+    )
+    gap = target - F.col("calibrated")
+    return fitted.apply(df, "churn_probability", "calibrated").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.round(F.abs(F.avg(gap)), 4).alias("mean_gap"),
+        F.round(F.abs(F.avg(gap * F.col("churn_probability"))), 4).alias("mean_weighted_gap"),
+    )
 
 
 @query("f9_no_calibration", with_scores("""
@@ -172,12 +196,24 @@ def _(spark, folder):
     raise AssertionError("no calibrator was asked for")
 
 
-@query("f10_out_of_fold")
+@query("f10_out_of_fold", with_snapshot("""
+SELECT CustomerID AS row_key, CAST(min(fold) AS INTEGER) AS fold, tvr.Churn AS label, true AS valid
+FROM tvr JOIN tve ON tvr.Churn = tve.Churn AND r <= upto GROUP BY CustomerID, tvr.Churn""",
+    *THREE_WAY_SNAPSHOT, """
+tv AS (SELECT CustomerID, Churn FROM marked WHERE split <> 'test'),
+tvr AS (SELECT *, row_number() OVER (PARTITION BY Churn ORDER BY
+  md5(concat_ws(':', CAST(CustomerID AS VARCHAR), 'fold', '42')), CustomerID) AS r FROM tv),
+tvs AS (SELECT Churn, coalesce(sum(n) OVER (ORDER BY Churn ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), 0) AS s FROM (SELECT Churn, count(*) AS n FROM tv GROUP BY Churn)),
+tvz AS (SELECT Churn, (s + r - 1) % 3 AS fold, count(*) AS m FROM tvr JOIN tvs USING (Churn)
+  GROUP BY ALL),
+tve AS (SELECT Churn, fold, sum(m) OVER (PARTITION BY Churn ORDER BY fold) AS upto FROM tvz)"""))
 def _(spark, folder):
     prepared = _prepared(spark, folder)
-    return training.cross_val_oof(
+    oof = training.cross_val_oof(
         _rows(prepared, "train", "val"), _short("random_forest"), cv=3, calibrate="isotonic"
-    ).rows
+    )
+    return oof.rows.select(ROW_KEY, "fold", "label", _in_range("probability"))
 
 
 @query("f11_compare_models")
@@ -214,12 +250,12 @@ def _(spark, folder):
     )
 
 
-@query("f14_final_fit")
+@query("f14_final_fit", _TEST_SQL)
 def _(spark, folder):
     prepared = _prepared(spark, folder)
     final = training.fit_final(prepared, _short("boosted_balanced"), rounds=ROUNDS)
     scored = final.model.score(prepared.part("test"), "probability")
-    return scored.select(ROW_KEY, F.col("Churn").alias("label"), "probability")
+    return scored.select(ROW_KEY, F.col("Churn").alias("label"), _in_range("probability"))
 
 
 def _train(spark, folder, **options):
@@ -340,7 +376,15 @@ def _(spark, folder):
     return runs_table(spark, root).select("kind", "status", "model", "threshold", "target")
 
 
-@query("a8_load_bundle")
+@query("a8_load_bundle", with_snapshot("""
+SELECT count(*) AS n_rows, 'random_forest' AS model, 0.25::DOUBLE AS threshold,
+  CAST(6 + 3 + 4 + 4 + (SELECT count(*) FROM (
+    SELECT count(*) - count(Tenure) AS gaps FROM snap
+    UNION ALL SELECT count(*) - count(DaySinceLastOrder) FROM snap
+    UNION ALL SELECT count(*) - count(DaySinceLastUrgent) FROM snap
+    UNION ALL SELECT count(*) - count(OrderCount) FROM snap
+    UNION ALL SELECT count(*) - count(CashbackAmount) FROM snap) WHERE gaps > 0) AS INTEGER)
+  AS n_features FROM snap"""))
 def _(spark, folder):
     raw, root, _ = _saved(spark, folder)
     bundle = load_bundle(spark, root)
@@ -351,13 +395,19 @@ def _(spark, folder):
     )
 
 
-@query("h1_score_batch")
+@query("h1_score_batch", with_snapshot(
+    "SELECT CustomerID, true AS valid, true AS decided FROM snap"))
 def _(spark, folder):
     raw, _, bundle = _saved(spark, folder)
-    return score_batch(
+    scored = score_batch(
         raw.drop("Churn"), bundle.model, bundle.schema, bundle.medians, bundle.threshold,
         aliases=ALIASES,
     )
+    flagged = F.col("churn_probability") >= F.lit(bundle.threshold)
+    return scored.select(
+        "CustomerID", _in_range("churn_probability"),
+        (flagged.cast("int") == F.col("churn_prediction")).alias("decided"),
+    )
 
 
 @query("h6_score_files")
