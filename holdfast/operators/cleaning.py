@@ -147,12 +147,27 @@ def clean(
 
 
 def fit_medians(
-    df: DataFrame, columns: Sequence[str] | None = None, *, approximate: bool = False
+    df: DataFrame, columns: Sequence[str] | None = None, *, flags: Sequence[str] = (),
+    approximate: bool = False,
 ) -> dict[str, float | None]:
-    """Interpolated medians; None for a column without a value."""
+    """Interpolated medians; None for a column without a value.
+
+    ``flags`` names the columns known to hold only 0 and 1, most of an encoded matrix. Their median
+    follows from a sum, so they need neither sketches nor value counts.
+    """
     columns = numeric_columns(df) if columns is None else list(columns)
-    found = exact_percentiles(df, columns, [0.5], approximate=approximate)
-    return {c: values[0] for c, values in found.items()}
+    flagged = [c for c in columns if c in set(flags)]
+    found = exact_percentiles(
+        df, [c for c in columns if c not in set(flags)], [0.5], approximate=approximate
+    )
+    medians = {c: values[0] for c, values in found.items()}
+    if flagged:
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"a{i}")
+                       for i, c in enumerate(flagged)]).first()
+        for i, c in enumerate(flagged):
+            share = row[f"a{i}"]
+            medians[c] = None if share is None else 0.5 * ((share >= 0.5) + (share > 0.5))
+    return {c: medians[c] for c in columns}
 
 
 def apply_medians(df: DataFrame, medians: Mapping[str, float | None]) -> DataFrame:

@@ -23,6 +23,12 @@ class FeatureSchema:
     feature_columns: tuple[str, ...]
     dropped: tuple[str, ...] = ()
 
+    @property
+    def flag_columns(self) -> list[str]:
+        """The features that are 0 or 1 on every row: binary columns and dummies."""
+        dummies = {dummy_name(c, v) for c, vs in self.multi.items() for v in vs[1:]}
+        return [c for c in self.feature_columns if c in dummies or c in self.binary]
+
     def to_json(self) -> str:
         return json.dumps({
             "target": self.target,

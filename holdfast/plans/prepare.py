@@ -82,7 +82,8 @@ def fit_splits(marked: DataFrame, target: str) -> PreparedSplits:
     schema = fit_feature_schema(known, target)
     encoded = apply_feature_schema(marked, schema, keep=(SPLIT,))
     medians = fit_medians(
-        encoded.filter(F.col(SPLIT) == "train"), list(schema.feature_columns)
+        encoded.filter(F.col(SPLIT) == "train"), list(schema.feature_columns),
+        flags=schema.flag_columns,
     )
     return PreparedSplits(apply_medians(encoded, medians), target, schema, medians)
 

@@ -171,6 +171,14 @@ def test_medians_are_interpolated_and_gaps_warn(spark):
     assert tuple(later.first()) == (3.0, 5.0)
 
 
+def test_flag_medians_follow_from_sums(spark):
+    rows = [(0, 1, 0, None), (0, 1, 1, None), (1, 1, 0, None), (0, 0, 1, None)]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    plain = cleaning.fit_medians(df, list("abcd"))
+    assert plain == {"a": 0.0, "b": 1.0, "c": 0.5, "d": None}
+    assert cleaning.fit_medians(df, list("abcd"), flags=list("abcd")) == plain
+
+
 def test_encoding_by_number_of_values(spark):
     rows = [
         ("Male", "No", "a", "only", None, 1.0, True), ("Female", "Yes", "b", "only", None, 2.0,
