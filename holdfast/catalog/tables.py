@@ -105,7 +105,7 @@ SELECT count(*) AS n_rows,
   || CAST(sum(CAST(('0x' || substr(h, 9, 8)) AS BIGINT)) AS VARCHAR) AS digest
 FROM rows""")
 def _(spark, folder):
-    cents = F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    cents = F.rint(F.col("o_totalprice") * 100).cast("long").alias("cents")
     return table_fingerprint(table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", cents, "o_orderpriority"
     ))

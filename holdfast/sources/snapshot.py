@@ -20,6 +20,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _hundredths(column: str) -> Column:
+    return F.rint(F.col(column) * F.lit(100.0)).cast("long")
+
+
 def _orders_until(spark: SparkSession, folder: str, as_of: dt.date, horizon_days: int) -> DataFrame:
     return (
         table(spark, folder, "orders")
@@ -46,15 +50,13 @@ def customer_snapshot(
     """Features from orders before ``as_of``; Churn = no order in the ``horizon_days`` after it.
 
     Orders and lines are reduced per customer before they meet the customer table, so a customer
-    with very many orders is combined on the map side. Money is summed as decimals: the result is
-    the same for every partitioning.
+    with very many orders is combined on the map side. Money is summed in whole units, so the result
+    is the same for every partitioning.
     """
     start = F.lit(as_of)
     earlier = F.col("o_orderdate") < start
     orders = _orders_until(spark, folder, as_of, horizon_days)
-    cashback = (
-        F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
-    )
+    cashback = _hundredths("l_extendedprice") * _hundredths("l_discount")
     per_type = (
         table(spark, folder, "lineitem")
         .select("l_orderkey", "l_partkey", cashback.alias("cashback"))
@@ -67,7 +69,7 @@ def customer_snapshot(
     )
     per_line_customer = per_type.groupBy(F.col("o_custkey").alias("line_custkey")).agg(
         F.min_by("p_type", F.struct(-F.col("n"), F.col("p_type"))).alias("PreferedOrderCat"),
-        F.sum("cashback").cast("double").alias("CashbackAmount"),
+        (F.sum("cashback") / F.lit(10000.0)).alias("CashbackAmount"),
     )
 
     def days_since(day: str) -> Column:
