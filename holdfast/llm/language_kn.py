@@ -258,8 +258,8 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ()) -
                     score[i] = share[j] / 2 if bad[j] else share[j]
                     entropy[i], rejected[i] = lowest[j], bad[j]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(pred), pa.array(score), pa.array(entropy, from_pandas=True),
-                 pa.array(rejected), *batch.columns[2:]],
+                [batch.column(0), pa.array(pred, pa.string()), pa.array(score),
+                 pa.array(entropy, from_pandas=True), pa.array(rejected), *batch.columns[2:]],
                 names=["doc_id", "lang_pred", "score", "entropy", "rejected", *keep],
             )
 

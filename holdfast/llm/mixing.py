@@ -15,7 +15,8 @@ from holdfast.session import stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, SHARE, MOST = (5.0, 2.0, 1.0), 1.5, 2.0
-BLOCK, SHARD_SLOTS, ROUNDS, _CHUNK = 32, 4096, 8, 8192
+BLOCK, SHARD_SLOTS, ROUNDS, _CHUNK = 32, 4096, 6, 8192
+PRIMES = (6291469, 12582917, 3145739)
 
 
 def word_count(text: Column | str) -> Column:
@@ -25,15 +26,17 @@ def word_count(text: Column | str) -> Column:
 def permuted(df: DataFrame, index: str, n: str, salts: Sequence[Column], rounds: int = ROUNDS) -> DataFrame:
     """``df`` with ``index`` (0 to n - 1) sent through a pseudorandom permutation of 0 to n - 1.
 
-    Swap-or-not: each round pairs x with (k - x) mod n and swaps or keeps the two as a hash of the
-    larger one says, so every round is a permutation for any n.
+    First x becomes (ax + b) mod n, which spreads neighbours over the whole range. Then rounds of
+    swap-or-not: each pairs x with (k - x) mod n and swaps or keeps the two as a hash of the larger
+    one says. Every step is a permutation for any n, as no a divides it; n may reach 2**39.
     """
     def swapped(x: Column, r: Column) -> Column:
         mate = F.pmod(F.pmod(F.xxhash64(*salts, r), F.col(n)) - x, F.col(n))
         swap = F.xxhash64(F.greatest(mate, x), *salts, r, F.lit("swap")) < 0
         return F.when(swap, mate).otherwise(x)
 
-    start = F.col(index).cast("long")
+    factor = F.coalesce(*[F.when(F.col(n) % p != 0, F.lit(p)) for p in PRIMES]).cast("long")
+    start = F.pmod(F.col(index).cast("long") * factor + F.pmod(F.xxhash64(*salts), F.col(n)), F.col(n))
     return df.withColumn(index, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, swapped))
 
 
@@ -163,38 +166,42 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row for every pass that takes words of a document.
 
     A pass that takes a document whole repeats its row as it is. Where it takes some blocks only, ``text`` holds
-    their words, joined by spaces, and ``n_chars`` is counted anew. Documents without words are not part of a mix.
+    their words, joined by spaces, and ``n_chars`` is counted anew. Documents without words are not part
+    of a mix. Of rows with equal id, text and source each is in the mix, with the other columns of the first.
     """
     content = F.md5(F.coalesce("text", F.lit("")))
     row = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), content,
                       F.coalesce(F.concat(F.lit("a"), F.col("source").cast("string")), F.lit("n")))
-    keyed = docs.withColumn("_row", F.md5(row))
-    # Rows that repeat get numbers: each has its own place in the stream and its own words taken.
-    laid, sources = lay_out(keyed, seed, ["_row"])
+    others = F.struct(F.lit(0).alias("none"), *[
+        F.col(c) for c in docs.columns if c not in ("doc_id", "text", "source")])
+    keyed = docs.select("doc_id", "text", "source", F.md5(row).alias("row"), others.alias("others"),
+                        F.struct(*docs.columns).alias("doc"))
+    laid, sources = lay_out(keyed, seed, ["row"])
     laid = stage_table(laid, "laid")
     hits = _spread(laid).join(slots(sources, seed), ["source_key", "block"])
-    passes = hits.groupBy("_row", "source_key", "size", "start", "epoch").agg(
+    passes = hits.groupBy("row", "source_key", "size", "start", "epoch").agg(
         F.array_sort(F.collect_list("block")).alias("blocks")
     )
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # Rows of equal content share a key: the first carries the text, the passes tell how often.
+    first = F.row_number().over(Window.partitionBy("row").orderBy("others"))
+    texts = keyed.withColumn("n", first).filter("n = 1").select("row", "doc", "text")
     need = F.floor((F.col("start") + F.col("size") - 1) / BLOCK) - F.floor(F.col("start") / BLOCK) + 1
-    whole = F.size("blocks") == need
+    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
     def part(block: Column) -> Column:
         low = F.greatest(block * BLOCK - F.col("start"), F.lit(0))
         high = F.least((block + 1) * BLOCK - F.col("start"), F.col("size"))
-        return F.array_join(F.slice("_words", (low + 1).cast("int"), (high - low).cast("int")), " ")
-
-    # Rows of equal content share a key: one of them carries the text, the passes tell how often.
-    texts = keyed.withColumn("_n", F.row_number().over(
-        Window.partitionBy("_row").orderBy(*[F.col(c) for c in docs.columns if c not in ("doc_id", "text", "source")], F.lit(0))
-    )).filter("_n = 1").drop("_n")
-    joined = texts.join(passes, "_row").withColumn(
-        "_words", F.when(~whole, words)
+        return F.array_join(F.slice("words", (low + 1).cast("int"), (high - low).cast("int")), " ")
+
+    cut = (
+        texts.join(passes, "row").withColumn("whole", F.size("blocks") == need)
+        .withColumn("words", F.when(~F.col("whole"), split))
+        .withColumn("text", F.when(F.col("whole"), F.col("text"))
+                    .otherwise(F.array_join(F.transform("blocks", part), " ")))
     )
-    cut = F.array_join(F.transform("blocks", part), " ")
-    out = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(cut))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(
-            F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    whole = F.col("whole")
+    fresh = {"text": F.col("text"), "n_chars": F.when(whole, F.col("doc.n_chars")).otherwise(
+        F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else None}
+    return cut.select(*[
+        fresh[c].alias(c) if c in fresh else F.col("doc")[c].alias(c) for c in docs.columns
+    ])

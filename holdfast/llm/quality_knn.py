@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,18 +17,22 @@ FEATURES = 2048
 REFERENCES = 4096
 DIMENSIONS = 64
 NEIGHBOURS = 15
+REPEAT_WEIGHT = 40
 _MIX = np.uint32(2654435761)
 
 
 def features(text: str | None) -> np.ndarray:
-    """How often each hashed run of three bytes occurs in the whole text."""
-    raw = np.frombuffer((text or "").encode(), np.uint8)
+    """How often each hashed run of three bytes occurs in the whole text; last, its words that repeat the one before."""
+    data = (text or "").encode()
+    raw = np.frombuffer(data, np.uint8)
     counts = np.zeros(FEATURES, np.float32)
     for start in range(0, max(len(raw) - 2, 0), 1 << 20):
         part = raw[start: start + (1 << 20) + 2].astype(np.uint32)
         runs = (part[:-2] << 16) | (part[1:-1] << 8) | part[2:]
-        hashed = (runs * _MIX) >> np.uint32(32 - FEATURES.bit_length() + 1)
+        hashed = ((runs * _MIX) >> np.uint32(8)) % np.uint32(FEATURES - 1)
         counts += np.bincount(hashed, minlength=FEATURES).astype(np.float32)
+    words = data.split()
+    counts[-1] = REPEAT_WEIGHT * sum(map(operator.eq, words, words[1:]))
     return counts
 
 

@@ -181,7 +181,8 @@ def fit(findings: DataFrame, findings_limit: int = FINDINGS, trees: int = TREES,
 
 def fit_on(docs: DataFrame, path: str | None = "source", **settings) -> Forest:
     """A forest from the findings of ``docs`` with ``weak_labels``."""
-    found = with_candidates(docs, path).filter(F.size("_features") > 0).select(
+    own = docs.select("text", *([path] if path else []))
+    found = with_candidates(own, path).filter(F.size("_features") > 0).select(
         F.explode("_features").alias("f")
     )
     columns = [F.col("f")[i].alias(name) for i, name in enumerate(FEATURES)]
@@ -195,7 +196,8 @@ def scan(docs: DataFrame, forest: Forest, path: str | None = "source", threshold
     report holds no secrets. Null, empty and candidate-free texts give no rows; rows that repeat are
     reported each; null ids stay null.
     """
-    scored = with_candidates(docs, path).withColumn(
+    own = docs.select("doc_id", "text", *([path] if path else []))
+    scored = with_candidates(own, path).withColumn(
         "_scores", F.transform("_features", forest.probability)
     )
     found = F.arrays_zip("_tokens", "_scores")
@@ -213,19 +215,23 @@ def redact(docs: DataFrame, forest: Forest, path: str | None = "source", thresho
 
     ``n_chars``, if there, is counted anew where a text changed.
     """
-    scored = with_candidates(docs, path).withColumn(
+    where = F.col(path).cast("string") if path else F.lit("")
+    own = docs.select(F.struct(*docs.columns).alias("doc"), "text", where.alias("path"))
+    scored = with_candidates(own, "path").withColumn(
         "_secret", F.transform("_features", lambda f: forest.probability(f) >= threshold)
     )
     tokens, secret = F.col("_tokens"), F.col("_secret")
     parts = F.transform("_gaps", lambda g, i: F.concat(
         g, F.when(i < F.size(tokens), F.when(secret[i], F.lit(MASK)).otherwise(tokens[i])).otherwise("")
     ))
-    any_secret = F.coalesce(F.exists("_secret", lambda s: s), F.lit(False))
-    out = scored.withColumn("_changed", any_secret).withColumn(
-        "text", F.when(F.col("_changed"), F.array_join(parts, "")).otherwise(F.col("text"))
-    )
+    changed = F.coalesce(F.exists("_secret", lambda s: s), F.lit(False))
+    masked = scored.select("doc", changed.alias("changed"), F.when(
+        changed, F.array_join(parts, "")).otherwise(F.col("text")).alias("text"))
+    fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(
-            F.col("_changed"), F.length("text").cast(docs.schema["n_chars"].dataType)
-        ).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.when(
+            F.col("changed"), F.length("text").cast(docs.schema["n_chars"].dataType)
+        ).otherwise(F.col("doc.n_chars"))
+    return masked.select(*[
+        fresh[c].alias(c) if c in fresh else F.col("doc")[c].alias(c) for c in docs.columns
+    ])

@@ -193,15 +193,17 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     content = F.md5(F.coalesce("text", F.lit("")))
     row = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), content))
-    keyed = docs.withColumn("_row", row)
-    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), F.col("_row").alias("row"))
+    others = F.struct(F.lit(0).alias("none"), *[
+        F.col(c) for c in docs.columns if c not in ("doc_id", "text")])
+    keyed = docs.select("doc_id", "text", row.alias("row"), others.alias("others"),
+                        F.struct(*docs.columns).alias("doc"))
+    order = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "row")
     chosen = (
-        _groups(keyed, radius, ("_row",)).groupBy("component").agg(F.min(order).alias("first"))
-        .select(F.col("first.row").alias("_row"))
+        _groups(keyed, radius, ("row",)).groupBy("component").agg(F.min(order).alias("first"))
+        .select(F.col("first.row").alias("row"))
     )
-    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    same = Window.partitionBy("_row").orderBy(*others, F.lit(0))
+    same = Window.partitionBy("row").orderBy("others")
     return (
-        keyed.join(chosen, "_row", "left_semi").withColumn("_n", F.row_number().over(same))
-        .filter("_n = 1").select(*docs.columns)
+        keyed.join(chosen, "row", "left_semi").withColumn("n", F.row_number().over(same))
+        .filter("n = 1").select("doc.*")
     )

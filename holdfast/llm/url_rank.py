@@ -79,7 +79,7 @@ def host_scores(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, ro
     out = both.groupBy("kind", "src").agg(F.sum("links").alias("_out"))
     ways = stage_table(
         both.join(out, ["kind", "src"])
-        .select("kind", "src", "dst", (F.col("links") / F.col("_out")).alias("share")), "host_edges",
+        .select("kind", F.col("src").alias("host"), "dst", (F.col("links") / F.col("_out")).alias("share")), "host_edges",
     )
     start = seeds.select(F.lit("trust").alias("kind"), "host", F.col("allowed").alias("rank")).union(
         seeds.select(F.lit("distrust").alias("kind"), "host", F.col("blocked").alias("rank"))
@@ -87,8 +87,8 @@ def host_scores(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, ro
     base = stage_table(start, "host_seeds")
     rank = base
     for i in range(rounds if ways.take(1) else 0):
-        moved = rank.join(ways, (rank["kind"] == ways["kind"]) & (rank["host"] == ways["src"])).select(
-            ways["kind"], F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
+        moved = rank.join(ways, ["kind", "host"]).select(
+            "kind", F.col("dst").alias("host"), (F.col("rank") * F.col("share") * damping).alias("rank")
         )
         rank = moved.union(base).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         if (i + 1) % every == 0:
