@@ -174,6 +174,7 @@ def test_plan_size_does_not_grow_with_items():
 @pytest.mark.parametrize("text", [
     "a  b\n\nc\t d ", "it's they'll 'S 12a!! \u00a0 x\u2003 y", "\x1c a \x85b", "<|endoftext|> x", "ñ é\r\n ß 日本 語!?",
     " lead", "x\u00a0 y", "a\x0b\x0cb", "",
+    "A b, c.\nD e's\nf", "\na b", "a b\n", "a \nb", "12 a1 !?x\nß9", " ", "\n",
 ])
 def test_encoder_gives_the_ids_of_the_tokenizer(text):
     from tokenizers import Tokenizer
