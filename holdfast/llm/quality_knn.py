@@ -33,7 +33,7 @@ def features(text: str | None) -> np.ndarray:
         counts += np.bincount(hashed, minlength=FEATURES).astype(np.float32)
     words = data.split()
     counts[-1] = REPEAT_WEIGHT * sum(map(operator.eq, words, words[1:]))
-    return counts
+    return np.minimum(counts, 65535)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -71,12 +71,12 @@ class LatentVotes:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(label, counts binary): the features of every row of (label, text) as 32-bit floats."""
+    """(label, counts binary): the features of every row of (label, text) as 16-bit integers."""
     import pyarrow as pa
 
     def count(batches):
         for batch in batches:
-            rows = [features(t.as_py()).tobytes() for t in batch.column(1)]
+            rows = [features(t.as_py()).astype(np.uint16).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
                                              names=["label", "counts"])
 
@@ -97,19 +97,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", references:
     )
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")
     rows = counted(texts.select("label", "text")).distinct()
-    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # rows of 8 kB
+    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # rows of 4 kB
     if not found:
         empty = np.zeros((0, dimensions), np.float32)
         return LatentVotes(np.ones(FEATURES, np.float32), np.zeros((FEATURES, dimensions), np.float32),
                            empty, np.zeros(0), neighbours)
-    counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in found])
     labels = np.array([r["label"] for r in found])
+    counts = np.stack([np.frombuffer(r["counts"], np.uint16) for r in found]).astype(np.float32)
+    del found
     seen = (counts > 0).sum(axis=0)
     weights = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + np.float32(0.1)
-    x = _unit(np.sqrt(counts) * weights).astype(np.float64)
-    _, vectors = np.linalg.eigh(x.T @ x)
-    basis = np.ascontiguousarray(vectors[:, ::-1][:, :dimensions]).astype(np.float32)
+    x = _unit(np.sqrt(counts) * weights)
+    basis = np.linalg.qr(np.random.default_rng(1).standard_normal((FEATURES, dimensions + 16)))[0]
+    for _ in range(30):  # subspace iteration towards the leading singular vectors
+        basis = np.linalg.qr(x.T @ (x @ basis.astype(np.float32)))[0]
+    basis = np.ascontiguousarray(basis[:, :dimensions]).astype(np.float32)
     model = LatentVotes(weights, basis, np.zeros((0, 0)), labels, neighbours)
+    del x
     model.vectors = np.ascontiguousarray(model.latent(counts))
     return model
 
