@@ -107,60 +107,76 @@ def with_global_rank(
 
 
 def hash_cuts(
-    df: DataFrame,
-    group: str,
-    hashed: Column,
-    ranks: Mapping[object, Sequence[int]],
-    *,
-    fetch_limit: int = 20_000,
+    df: DataFrame, group: str, hashed: Column, ranks: Mapping[object, Sequence[int]],
+    *, fetch_limit: int = 20_000,
 ) -> dict[object, list[str]]:
-    """The hash text at the given 1-based ranks of each group, found without sorting the table.
-
-    Counts per leading digits locate the slice that holds a rank; slices still above
-    ``fetch_limit`` rows are counted again with more digits. A rank of 0 gives the empty text,
-    below every hash. Only bounded counts and the last small slices reach the driver, and the
-    caller's split becomes a comparison with literals: the rows are never shuffled.
+    """The hash text at the given 1-based ranks of each group, found without sorting the table."""
+    places = hash_places(df, group, hashed, ranks, fetch_limit=fetch_limit)
+    return {g: [place[0] for place in found] for g, found in places.items()}
+
+
+def hash_places(
+    df: DataFrame, group: str, hashed: Column, ranks: Mapping[object, Sequence[int]],
+    *, fetch_limit: int = 20_000,
+) -> dict[object, list[tuple[str, int, int]]]:
+    """(hash, place, rows) at the given 1-based ranks of each group: the hash text there, the place of the
+    rank among the rows with that text, and how many these are.
+
+    Counts per leading digits locate the slice that holds a rank; slices with more than
+    ``fetch_limit`` distinct hashes are counted again with more digits. A rank of 0 gives the empty
+    text, below every hash. Rows with one hash are counted, not fetched, so a hash that repeats costs
+    one row. Only counts and small slices reach the driver; the rows are never shuffled.
     """
     keyed = df.select(F.col(group).alias("g"), hashed.alias("h"))
-    cuts: dict[tuple[object, int], str] = {}
+    places: dict[tuple[object, int], tuple[str, int, int]] = {}
     pending: dict[tuple[object, int], tuple[str, int]] = {}
     for g, wanted in ranks.items():
         for r in wanted:
             if r <= 0:
-                cuts[g, r] = ""
+                places[g, r] = ("", 0, 0)
             else:
                 pending[g, r] = ("", r)
     digits = 0
     while pending:
         digits += 3
-        slices = _only(keyed, pending, digits - 3)
-        counts: dict[tuple[object, str], int] = {
-            (row["g"], row["p"]): row["n"]
-            for row in slices.groupBy("g", F.substring("h", 1, digits).alias("p"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        }
+        counted = _only(keyed, pending, digits - 3).groupBy("g", "h").agg(
+            F.count(F.lit(1)).alias("n")
+        ).groupBy("g", F.substring("h", 1, digits).alias("p")).agg(
+            F.sum("n").alias("n"), F.count(F.lit(1)).alias("hashes")
+        ) if digits > 3 else keyed.groupBy("g", F.substring("h", 1, digits).alias("p")).agg(
+            F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("hashes")
+        )
+        slices: dict[object, list[tuple[str, int, int]]] = {}
+        for row in counted.collect():
+            slices.setdefault(row["g"], []).append((row["p"], row["n"], row["hashes"]))
+        for found in slices.values():
+            found.sort()
         ready: dict[tuple[object, int], tuple[str, int]] = {}
         deeper: dict[tuple[object, int], tuple[str, int]] = {}
         for (g, r), (prefix, left) in pending.items():
-            for p in sorted(p for cg, p in counts if cg == g and p.startswith(prefix)):
-                if left <= counts[g, p]:
-                    small = counts[g, p] <= fetch_limit or digits >= 30
-                    (ready if small else deeper)[g, r] = (p, left)
+            for p, n, hashes in slices.get(g, ()):
+                if not p.startswith(prefix):
+                    continue
+                if left <= n:
+                    (ready if hashes <= fetch_limit else deeper)[g, r] = (p, left)
                     break
-                left -= counts[g, p]
+                left -= n
             else:
                 raise ValueError(f"group {g!r} has fewer than {r} rows")
         if ready:
-            found: dict[tuple[object, str], list[str]] = {}
-            for row in _only(keyed, ready, digits).select(
-                "g", F.substring("h", 1, digits).alias("p"), "h"
+            inside: dict[tuple[object, str], list[tuple[str, int]]] = {}
+            for row in _only(keyed, ready, digits).groupBy("g", "h").agg(
+                F.count(F.lit(1)).alias("n")
             ).collect():
-                found.setdefault((row["g"], row["p"]), []).append(row["h"])
+                inside.setdefault((row["g"], row["h"][:digits]), []).append((row["h"], row["n"]))
             for (g, r), (p, left) in ready.items():
-                cuts[g, r] = sorted(found[g, p])[left - 1]
+                for h, n in sorted(inside[g, p]):
+                    if left <= n:
+                        places[g, r] = (h, left, n)
+                        break
+                    left -= n
         pending = deeper
-    return {g: [cuts[g, r] for r in wanted] for g, wanted in ranks.items()}
+    return {g: [places[g, r] for r in wanted] for g, wanted in ranks.items()}
 
 
 def _only(keyed: DataFrame, wanted: Mapping, digits: int) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A split is a comparison of the row's keyed hash with one cut per class, so assigning a hundred
 billion rows to train, validation and test is a projection. The cuts sit at exact ranks, which
-makes the class counts exact too.
+makes the class counts exact too, also where keys repeat or are missing: ties are broken by the content
+of the row, and rows equal in every column are numbered where a cut falls among them.
 """
 
 from __future__ import annotations
@@ -10,11 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.keyed import keyed_hash
-from holdfast.operators.ranking import hash_cuts
+from holdfast.operators.ranking import hash_places
 
 CLASS_LIMIT = 1000
 
@@ -42,19 +45,46 @@ def stratified_quota(counts: Mapping[object, int], draws: int) -> dict[object, i
     return quota
 
 
-def _between_cuts(target: str, hashed: Column, cuts: Mapping[object, Sequence[str]],
-                  names: Sequence[object]) -> Column:
-    """names[i] for the first cut that the row's hash does not exceed, the last name beyond all."""
+def _order_text(df: DataFrame, key: str, *salt: object) -> Column:
+    """The keyed hash, and after it a hash of the whole row: rows without a key, or with the same one,
+    still have an order of their own."""
+    vectors = {f.name for f in df.schema.fields if isinstance(f.dataType, VectorUDT)}
+    content = F.to_json(F.struct(*[
+        (vector_to_array(F.col(f"`{c}`")) if c in vectors else F.col(f"`{c}`")).alias(f"c{i}")
+        for i, c in enumerate(df.columns)
+    ]))
+    return F.concat(keyed_hash(key, *salt), F.md5(content))
+
+
+def _between_cuts(df: DataFrame, target: str, hashed: Column, ranks: Mapping[object, Sequence[int]],
+                  names: Sequence[object], name: str) -> DataFrame:
+    """Adds names[i] for the first rank that the row's place in its class does not exceed, the last name
+    beyond all.
+
+    A projection, unless a rank falls among rows that are equal in every column: then those are numbered.
+    """
+    places = hash_places(df, target, hashed, ranks)
+    cut_copies = any(0 < place < n for found in places.values() for _, place, n in found)
+    number = F.lit(1)
+    if cut_copies:
+        split = [h for found in places.values() for h, place, n in found if 0 < place < n]
+        number = F.when(hashed.isin(split), F.row_number().over(
+            Window.partitionBy(target, F.when(hashed.isin(split), hashed).otherwise(
+                F.substring(hashed, 1, 8))).orderBy(hashed)))
+    work = df.withColumns({"__hash": hashed, "__number": number})
     label = None
-    for value, ends in cuts.items():
+    for value, found in places.items():
         slot = None
-        for end, name in zip(ends, names):
-            rule = hashed <= F.lit(end)
-            slot = F.when(rule, F.lit(name)) if slot is None else slot.when(rule, F.lit(name))
+        for (h, place, n), one in zip(found, names):
+            rule = F.col("__hash") <= F.lit(h)
+            if 0 < place < n:
+                rule = (F.col("__hash") < F.lit(h)) | (
+                    (F.col("__hash") == F.lit(h)) & (F.col("__number") <= place))
+            slot = F.when(rule, F.lit(one)) if slot is None else slot.when(rule, F.lit(one))
         slot = slot.otherwise(F.lit(names[-1]))
         same = F.col(target) == F.lit(value)
         label = F.when(same, slot) if label is None else label.when(same, slot)
-    return label
+    return work.withColumn(name, label).drop("__hash", "__number")
 
 
 def holdout_split(
@@ -64,9 +94,8 @@ def holdout_split(
     """Mark ceil(fraction * n) rows, shared among the classes in proportion, as held out."""
     counts = class_counts(df, target)
     quota = stratified_quota(counts, math.ceil(fraction * sum(counts.values())))
-    hashed = keyed_hash(key, seed)
-    cuts = hash_cuts(df, target, hashed, {c: [q] for c, q in quota.items()})
-    return df.withColumn(name, _between_cuts(target, hashed, cuts, [held, rest]))
+    ranks = {c: [q] for c, q in quota.items()}
+    return _between_cuts(df, target, _order_text(df, key, seed), ranks, [held, rest], name)
 
 
 def three_way_split(
@@ -80,9 +109,9 @@ def three_way_split(
     left = {c: counts[c] - test[c] for c in counts}
     val_fraction = val_size / (1.0 - test_size)
     val = stratified_quota(left, math.ceil(val_fraction * sum(left.values())))
-    hashed = keyed_hash(key, seed)
-    cuts = hash_cuts(df, target, hashed, {c: [test[c], test[c] + val[c]] for c in counts})
-    return df.withColumn(name, _between_cuts(target, hashed, cuts, ["test", "val", "train"]))
+    ranks = {c: [test[c], test[c] + val[c]] for c in counts}
+    names = ["test", "val", "train"]
+    return _between_cuts(df, target, _order_text(df, key, seed), ranks, names, name)
 
 
 def fold_sizes(counts: Mapping[object, int], k: int) -> dict[object, list[int]]:
@@ -105,9 +134,7 @@ def stratified_folds(
     ends = {}
     for c, sizes in fold_sizes(counts, k).items():
         ends[c] = [sum(sizes[: f + 1]) for f in range(k - 1)]
-    hashed = keyed_hash(key, "fold", seed)
-    cuts = hash_cuts(df, target, hashed, ends)
-    return df.withColumn(name, _between_cuts(target, hashed, cuts, list(range(k))))
+    return _between_cuts(df, target, _order_text(df, key, "fold", seed), ends, list(range(k)), name)
 
 
 def class_ratio(df: DataFrame, target: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from holdfast.functions.arithmetic import edges_below, ratio_or_zero, round_half_even
 from holdfast.functions.keyed import keyed_hash, unit_interval
 from holdfast.operators.percentiles import exact_percentiles
+from holdfast.operators import splitting
 from holdfast.operators.ranking import hash_cuts, with_global_rank
 
 
@@ -125,3 +126,22 @@ def test_search_goes_below_the_sketch(spark):
     df = spark.createDataFrame([(float(v),) for v in values], "a double")
     got = exact_percentiles(df, ["a"], [0.5, 0.9], distinct_limit=50)["a"]
     assert got == pytest.approx(list(np.quantile(values, [0.5, 0.9])), rel=1e-12)
+
+
+@pytest.mark.parametrize("key", ["repeated", "missing", "copies"])
+def test_splits_are_exact_on_any_keys(spark, key):
+    df = spark.range(1000).select(
+        {"repeated": F.col("id") % 10, "missing": F.when(F.col("id") % 2 == 0, F.col("id")),
+         "copies": F.lit(None).cast("long")}[key].alias("k"),
+        (F.col("id") % 5 == 0).cast("int").alias("y"),
+        (F.lit(0) if key == "copies" else F.col("id")).alias("x"),
+    )
+    sizes = {
+        (r["split"], r["y"]): r["count"] for r in
+        splitting.three_way_split(df, "k", "y", 0.2, 0.2, 42).groupBy("split", "y").count().collect()
+    }
+    assert sizes == {("test", 0): 160, ("test", 1): 40, ("val", 0): 160, ("val", 1): 40,
+                     ("train", 0): 480, ("train", 1): 120}
+    folds = splitting.stratified_folds(df, "k", "y", 5, 42).groupBy("fold", "y").count().collect()
+    assert {(r["fold"], r["y"]): r["count"] for r in folds} == {
+        (f, y): n for f in range(5) for y, n in ((0, 160), (1, 40))}
