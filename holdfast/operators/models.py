@@ -75,7 +75,7 @@ class Candidate:
 def _forest(seed: int) -> Estimator:
     return Forest(
         featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
-        numTrees=400, maxDepth=12, featureSubsetStrategy="sqrt",
+        numTrees=400, maxDepth=30, featureSubsetStrategy="sqrt",
     )
 
 

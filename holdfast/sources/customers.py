@@ -61,10 +61,12 @@ def _typed(df: DataFrame) -> DataFrame:
 
 def load_customers(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-    tokens: Sequence[str] = NA_TOKENS,
+    tokens: Sequence[str] = NA_TOKENS, multi_line: bool = False,
 ) -> DataFrame:
     """A customer table from Parquet, or from CSV if the path ends in .csv.
 
+    Tokens for missing values are a matter of CSV: in Parquet a text such as NA is a value.
+    ``multi_line`` reads quoted line breaks, at the price that a file is not split among tasks.
     A schema makes the CSV read lazy; without one, a pass over the file settles the types.
     """
     if isinstance(schema, str):
@@ -72,8 +74,8 @@ def load_customers(
     try:
         if not path.lower().rstrip("/").endswith(".csv"):
             reader = spark.read if schema is None else spark.read.schema(schema)
-            return normalize_missing(reader.parquet(path), tokens)
-        raw = spark.read.csv(path, header=True, escape='"')
+            return normalize_missing(reader.parquet(path), ())
+        raw = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no table at {path}") from error
