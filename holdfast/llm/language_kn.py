@@ -209,7 +209,7 @@ def _gram_counts(texts: DataFrame, known: np.ndarray) -> DataFrame:
                 ]
                 names, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(names)), pa.array(names.astype(np.int64)),
+                    [pa.array([lang] * len(names), pa.string()), pa.array(names.astype(np.int64)),
                      pa.array(n.astype(np.int64))], names=["lang", "key", "n"],
                 )
 
