@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from collections.abc import Mapping
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,10 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import running_start, small_batches
 from holdfast.session import stage_table
 
-#: The pre-token pattern of the byte-level vocabulary and white space outside ASCII.
+#: The pre-token pattern of byte-level vocabularies.
 PRE_TOKENS = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-RARE_SPACE = "[\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
-SPECIAL = "<|endoftext|>"
 
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _CHUNK = 65536
@@ -30,63 +29,65 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def make_encoder(path: str, cache_words: int = 600_000):
+def _ranked(path: str, tokenizer):
+    """The byte-level vocabulary of ``path`` for tiktoken, or None where ranks would not give the same ids.
+
+    They do if nothing but the plain byte-level split comes first, every merge has the id after the one
+    before it, and every token comes out as itself.
+    """
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        about = json.load(file)
+    model, split = about["model"], about.get("pre_tokenizer") or {}
+    plain = (
+        model["type"] == "BPE" and about.get("normalizer") is None and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True) and not split.get("add_prefix_space")
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    )
+    if not plain:
+        return None
+    added = {t["content"] for t in about["added_tokens"]}
+    vocab = {word: i for word, i in model["vocab"].items() if word not in added}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [vocab[word] for word in merged]
+    byte_of = {letter: b for b, letter in byte_letters().items()}
+    if any(x >= y for x, y in zip(ids, ids[1:])) or not all(c in byte_of for word in vocab for c in word):
+        return None
+    if any(len(tokenizer.model.tokenize(word)) != 1 for word in vocab):
+        return None
+    ranks = {bytes(byte_of[c] for c in word): i for word, i in vocab.items()}
+    return tiktoken.Encoding("ranked", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={})
+
+
+@cache
+def make_encoder(path: str):
     """A function from a text to its ids as little-endian uint32 bytes, as the tokenizer gives them.
 
-    A pre-token never reaches from a non-space over a following space, so a text may be cut there and
-    the ids of its words be remembered. Most texts are lines of words between single spaces; others are
-    cut by a pattern, and texts with unusual white space or the special token go whole through the
-    tokenizer. Each memory is emptied when it holds ``cache_words`` words.
+    Byte-level vocabularies are run by tiktoken, which gives the same ids faster. Texts that hold an
+    added token, and those whose runs of white space are too long for its patterns, go through the
+    tokenizer; so does everything with other vocabularies. A worker loads a vocabulary once.
     """
     import os
-    import re
-    from array import array
 
     import numpy as np
-    import regex
     from tokenizers import Tokenizer
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     tokenizer = Tokenizer.from_file(path)
-    tokenize = tokenizer.model.tokenize
-    letters = byte_letters()
-    split = regex.compile(PRE_TOKENS).findall
-    words = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+").findall
-    unusual = re.compile(f"{RARE_SPACE}|{re.escape(SPECIAL)}").search
-    uneven = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
-
-    def packed(ids) -> bytes:
-        return array("I", ids).tobytes() if array("I").itemsize == 4 else np.array(ids, "<u4").tobytes()
-
-    class Remembered(dict):
-        def __init__(self, make):
-            self.make = make
-
-        def __missing__(self, word):
-            if len(self) >= cache_words:
-                self.clear()
-            found = self[word] = self.make(word)
-            return found
-
-    part = Remembered(lambda p: packed(
-        [token.id for token in tokenize(p.encode().decode("latin-1").translate(letters))]
-    )).__getitem__
-    bare = Remembered(lambda word: b"".join(map(part, split(word)))).__getitem__
-    after_space = Remembered(lambda word: b"".join(map(part, split(" " + word)))).__getitem__
-    line_end = bare("\n")
+    ranked = _ranked(path, tokenizer)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(text: str) -> bytes:
-        if unusual(text):
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if text != text.strip(" \n") or any(u in text for u in uneven):
-            return b"".join(map(bare, words(text)))
-        out = []
-        for line in text.split("\n"):
-            first, *rest = line.split(" ")
-            out.append(bare(first))
-            out.extend(map(after_space, rest))
-            out.append(line_end)
-        return b"".join(out[:-1])
+        if ranked is not None and not any(token in text for token in added):
+            try:
+                ids = ranked.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
+                return ids.astype("<u4").tobytes()
+            except ValueError:
+                pass
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     return encode
 

@@ -181,7 +181,19 @@ def test_encoder_gives_the_ids_of_the_tokenizer(text):
 
     path = queries.tokenizer_path()
     ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
-    assert best_fit.make_encoder(path, 3)(text) == np.array(ids, "<u4").tobytes()
+    assert best_fit.make_encoder(path)(text) == np.array(ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("text", [
+    "a<|endoftext|>b", "x" + " " * 1_500_000 + "y", "x" + "\n " * 800_000, "ab" * 300_000,
+    "\x1c a\x85b\u3000c\ufeff", "\u6f22\u5b57 \u0661\u0662 I'll we'VE  \r\n\r\n",
+], ids=["special", "spaces", "breaks", "long", "rare", "scripts"])
+def test_encoder_on_unusual_texts(text):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert best_fit.make_encoder(path)(text) == np.array(ids, "<u4").tobytes()
 
 
 def test_packing_of_odd_rows(spark, odd_docs, no_docs):
