@@ -17,6 +17,7 @@ SAMPLE_DOCS = 2000
 MAX_TYPES = 200_000
 MAX_SYMBOLS = 4000
 MAX_LANGUAGES = 500
+_BUCKETS = 256
 _MASK = np.uint64((1 << BITS) - 1)
 
 
@@ -138,9 +139,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_types: int = MAX_TY
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", "text", F.col("lang").cast("string"), place.alias("_h")
     )
-    first = labelled.select("lang", "_h").withColumn(
-        "_n", F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
-    ).filter(F.col("_n") <= sample_docs)
+    # The smallest of every bucket first, so that no task sorts a whole language.
+    first = labelled.select("lang", "_h", F.pmod(F.xxhash64("_h"), F.lit(_BUCKETS)).alias("_bucket"))
+    for keys in (("lang", "_bucket"), ("lang",)):
+        place_in = F.row_number().over(Window.partitionBy(*keys).orderBy("_h"))
+        first = first.withColumn("_n", place_in).filter(F.col("_n") <= sample_docs)
     cuts = first.groupBy("lang").agg(F.max("_h").alias("cut")).limit(MAX_LANGUAGES + 1).collect()
     if len(cuts) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
