@@ -150,7 +150,7 @@ def taken_words(docs: DataFrame, seed: int = 0) -> DataFrame:
     low = F.greatest("start", F.col("block") * BLOCK)
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * BLOCK)
     taken = (
-        _spread(rows).join(times, ["source_key", "block"], "left")
+        _spread(rows).join(times.hint("merge"), ["source_key", "block"], "left")
         .groupBy("doc_id", "source_key", "size", "start")
         .agg(F.sum((high - low) * F.coalesce("times", F.lit(0))).alias("taken"))
     )
@@ -178,26 +178,29 @@ def mixed_documents(docs: DataFrame, seed: int = 0) -> DataFrame:
                         F.struct(*docs.columns).alias("doc"))
     laid, sources = lay_out(keyed, seed, ["row"])
     laid = stage_table(laid, "laid")
-    hits = _spread(laid).join(slots(sources, seed), ["source_key", "block"])
+    # Both sides of the joins grow with the corpus: neither is to be broadcast.
+    hits = _spread(laid).join(slots(sources, seed).hint("merge"), ["source_key", "block"])
     passes = hits.groupBy("row", "source_key", "size", "start", "epoch").agg(
         F.array_sort(F.collect_list("block")).alias("blocks")
     )
     # Rows of equal content share a key: the first carries the text, the passes tell how often.
     first = F.row_number().over(Window.partitionBy("row").orderBy("others"))
-    texts = keyed.withColumn("n", first).filter("n = 1").select("row", "doc", "text")
+    texts = keyed.select("row", "others", "doc").withColumn("n", first).filter("n = 1").select("row", "doc")
     need = F.floor((F.col("start") + F.col("size") - 1) / BLOCK) - F.floor(F.col("start") / BLOCK) + 1
-    split = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.col("doc")["text"]
+    split = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
-    def part(block: Column) -> Column:
+    def part(words: Column, block: Column) -> Column:
         low = F.greatest(block * BLOCK - F.col("start"), F.lit(0))
         high = F.least((block + 1) * BLOCK - F.col("start"), F.col("size"))
-        return F.array_join(F.slice("words", (low + 1).cast("int"), (high - low).cast("int")), " ")
+        return F.array_join(F.slice(words, (low + 1).cast("int"), (high - low).cast("int")), " ")
 
+    # The words are bound by a lambda, so that a text is split once and not for every block.
+    some = F.transform(F.array(split), lambda words: F.array_join(
+        F.transform("blocks", lambda block: part(words, block)), " "))[0]
     cut = (
-        texts.join(passes, "row").withColumn("whole", F.size("blocks") == need)
-        .withColumn("words", F.when(~F.col("whole"), split))
-        .withColumn("text", F.when(F.col("whole"), F.col("text"))
-                    .otherwise(F.array_join(F.transform("blocks", part), " ")))
+        texts.join(passes.hint("merge"), "row").withColumn("whole", F.size("blocks") == need)
+        .withColumn("text", F.when(F.col("whole"), text).otherwise(some))
     )
     whole = F.col("whole")
     fresh = {"text": F.col("text"), "n_chars": F.when(whole, F.col("doc.n_chars")).otherwise(
