@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from holdfast.session import stage_table
 
-BLOCK_ROWS, QUERY_ROWS = 4096, 512
-ROTATIONS, WIDTH, GROWTH, FIRST_RADIUS, MISS_SIGMAS = 2, 0.6745, 1.12, 0.25, 2.0
+BLOCK_ROWS, QUERY_ROWS = 8192, 512
+ROTATIONS, WIDTH, GROWTH, FIRST_RADIUS, MISS_SIGMAS = 2, 0.6745, 1.2, 0.5, 2.0
+GRID, CHUNK_WORDS = 128, 24576  # steps of a sorted projection; words of a bit set held at once
 _SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -42,6 +43,68 @@ def projections(dimension: int, rotations: int = ROTATIONS, seed: int = 17):
     return np.concatenate(sets, axis=1) * dimension**0.5
 
 
+class SortedLines:
+    """The sorted projections of a block; where a window lies between grid places, its rows are a bit set.
+
+    ``prefix[j, g]`` has a bit for each of the first ``g * step`` rows of projection ``j``, so the rows of a window
+    are two prefixes apart, and windows of all projections are added up bit by bit. Places are rounded to the
+    nearest grid place; the grid has ``GRID`` steps at any size of block.
+    """
+
+    def __init__(self, unit, axes):
+        import numpy as np
+
+        n, self.m = len(unit), axes.shape[1]
+        spots = np.ascontiguousarray((unit @ axes).T)
+        order = np.argsort(spots, axis=1, kind="stable")
+        step = max(1, -(-n // GRID))
+        self.words, steps = -(-n // 64), -(-n // step)
+        # A value lies at the grid place whose middle it has passed.
+        self.middles = np.take_along_axis(spots, order, axis=1)[:, step // 2::step].copy()
+        group = np.arange(n) // step
+        self.prefix = np.zeros((self.m, steps + 1, self.words), np.uint64)
+        width = self.words * 8
+        for j, rows in enumerate(order):
+            # Bits of one byte differ, so their sum is their union.
+            own = np.bincount(group * width + (rows >> 3), weights=1 << (rows & 7), minlength=steps * width)
+            own = own.astype(np.uint8).reshape(steps, width).view(np.uint64)
+            np.bitwise_or.accumulate(own, axis=0, out=self.prefix[j, 1:])
+
+    def collided(self, centres, reach: float, need: int):
+        """Bit sets of the rows that fall within ``reach`` of each centre in ``need`` projections or more."""
+        import numpy as np
+
+        shape = (len(centres), self.words)
+        # planes[i]: bit i of every row's count; waiting[i]: a carry of weight 2**i that has no partner yet.
+        planes = [np.zeros(shape, np.uint64) for _ in range(self.m.bit_length() + 1)]
+        waiting = [None] * (len(planes) + 1)
+        for j in range(self.m + self.m % 2):
+            if j < self.m:
+                places = self.middles[j].searchsorted(centres[:, j] + [[reach], [-reach]])
+                window = self.prefix[j].take(places[0], axis=0)
+                window ^= self.prefix[j].take(places[1], axis=0)
+            else:
+                window = np.zeros(shape, np.uint64)
+            level = 0
+            while waiting[level] is not None:
+                other, waiting[level], plane = waiting[level], None, planes[level]
+                half = other ^ window
+                other &= window
+                window = half & plane
+                window |= other
+                plane ^= half
+                level += 1
+            waiting[level] = window
+        for level, carry in enumerate(waiting):
+            while carry is not None and level < len(planes):
+                carry, planes[level], level = carry & planes[level], carry ^ planes[level], level + 1
+                carry = carry if carry.any() else None
+        enough = np.full(shape, ~np.uint64(0))
+        for i, plane in enumerate(planes):
+            enough = enough & plane if need >> i & 1 else enough | plane
+        return enough
+
+
 def search_block(ids, vectors, query_ids, queries, k: int):
     """(query_id, vec_id, score) of the ``k`` nearest of a block for every query.
 
@@ -56,49 +119,36 @@ def search_block(ids, vectors, query_ids, queries, k: int):
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     query_norms = np.sqrt((queries * queries).sum(axis=1))
     axes = projections(vectors.shape[1])
-    m = axes.shape[1]
-    spots = (vectors / norms[:, None]) @ axes
-    order = np.ascontiguousarray(np.argsort(spots, axis=0, kind="stable").T)
-    lines = np.ascontiguousarray(np.take_along_axis(spots.T, order, axis=1))
+    lines = SortedLines(vectors / norms[:, None], axes)
     centres = (queries / query_norms[:, None]) @ axes
-    need = m * 0.5 - MISS_SIGMAS * (m * 0.16) ** 0.5
-    radii = [FIRST_RADIUS]
-    while radii[-1] < 2.0:
-        radii.append(radii[-1] * GROWTH)
-    # low, high: first and last place of each query's window, for every projection and radius.
-    reach = WIDTH * np.array(radii)
-    low = np.stack([np.searchsorted(line, c[:, None] - reach) for line, c in zip(lines, centres.T)])
-    high = np.stack([np.searchsorted(line, c[:, None] + reach) for line, c in zip(lines, centres.T)])
+    m = axes.shape[1]
+    need = max(0, int(np.ceil(m * 0.5 - MISS_SIGMAS * (m * 0.16) ** 0.5)))
+    chunk = max(1, CHUNK_WORDS // lines.words)
     out = []
-    for q in range(len(queries)):
-        count = np.zeros(len(ids), np.int32)
-        done = ids == query_ids[q]
-        found_rows, found_scores = [], []
-        for level, radius in enumerate(radii):
-            a, b = low[:, q, level], high[:, q, level]
-            if level:
-                pa_, pb = low[:, q, level - 1], high[:, q, level - 1]
-                parts = [order[j, a[j]: pa_[j]] for j in range(m)]
-                parts += [order[j, pb[j]: b[j]] for j in range(m)]
+    for start in range(0, len(queries), chunk):
+        asks = np.arange(start, min(start + chunk, len(queries)))
+        todo = query_ids[asks][:, None] != ids[None, :]
+        found = {q: (np.zeros(0, np.int64), np.zeros(0)) for q in asks}
+        radius = FIRST_RADIUS
+        while len(asks):
+            if radius < 2.0:
+                bits = lines.collided(centres[asks], WIDTH * radius, need).view(np.uint8)
+                fresh = np.unpackbits(bits, axis=1, count=len(ids), bitorder="little").view(bool) & todo
             else:
-                parts = [order[j, a[j]: b[j]] for j in range(m)]
-            count += np.bincount(np.concatenate(parts), minlength=len(ids)).astype(np.int32)
-            fresh = np.nonzero((count >= need) & ~done)[0] if radius < 2.0 else np.nonzero(~done)[0]
-            if len(fresh):
-                done[fresh] = True
-                score = (vectors[fresh] * queries[q]).sum(axis=1) / (norms[fresh] * query_norms[q])
-                found_rows.append(fresh)
-                found_scores.append(score)
-            total = sum(map(len, found_rows))
-            if total >= k:
-                scores = np.concatenate(found_scores)
-                kth = np.partition(scores, total - k)[total - k]
-                if 2 - 2 * kth <= radius * radius:
-                    break
-        if found_rows:
-            rows, scores = np.concatenate(found_rows), np.concatenate(found_scores)
-            best = np.lexsort((ids[rows], -scores))[:k]
-            out.append((np.full(len(best), query_ids[q]), ids[rows[best]], scores[best]))
+                fresh = todo.copy()
+            todo &= ~fresh
+            going = []
+            for i, q in enumerate(asks):
+                rows = np.flatnonzero(fresh[i])
+                score = (vectors[rows] * queries[q]).sum(axis=1) / (norms[rows] * query_norms[q])
+                rows, score = np.append(found[q][0], rows), np.append(found[q][1], score)
+                best = np.lexsort((ids[rows], -score))[:k]
+                found[q] = rows[best], score[best]
+                covered = len(best) == k and 2 - 2 * score[best[-1]] <= radius * radius
+                if not covered and radius < 2.0:
+                    going.append(i)
+            asks, todo, radius = asks[going], todo[going], radius * GROWTH
+        out += [(np.full(len(rows), query_ids[q]), ids[rows], score) for q, (rows, score) in found.items() if len(rows)]
     return out
 
 
