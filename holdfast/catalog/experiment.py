@@ -340,6 +340,19 @@ def _(spark, folder):
     return rounded(effects, "rate_treatment", "rate_control", "difference")
 
 
+@query("j9_many_bands", with_scores(
+    f"SELECT risk_band, n_treatment, n_control, {_RATES_SQL} FROM effect",
+    _assign_sql(pool="1.0", treated="0.5", bands=10**6), *_JOINED_SQL[1:], _effect_sql("risk_band")))
+def _(spark, folder):
+    scored = stored_scores(spark, folder)
+    assigned = stage_table(
+        assignment.assign_experiment(scored, risk_pool_fraction=1.0, n_risk_bands=10**6), "assigned"
+    )
+    outcomes = scored.select("CustomerID", F.col("Churn").alias("outcome"))
+    report = itt.analyze_experiment(assigned, outcomes)
+    return rounded(report.by_band, "rate_treatment", "rate_control", "difference")
+
+
 @query("j11_analysis_report")
 def _(spark, folder):
     report = itt.analyze_experiment(

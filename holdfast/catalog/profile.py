@@ -151,6 +151,34 @@ def _(spark, folder):
     return rounded(df, "vif", places=4)
 
 
-@query("k12_all_features")
+def _determinant(rows: tuple[int, ...]) -> str:
+    """The determinant of the products of the given columns, written out by cofactors."""
+    def expand(left: tuple[int, ...], right: tuple[int, ...]) -> str:
+        if not left:
+            return "1.0"
+        terms = [
+            f"{'-' if k % 2 else '+'} s{min(left[0], j)}{max(left[0], j)} * "
+            f"({expand(left[1:], right[:k] + right[k + 1:])})"
+            for k, j in enumerate(right)
+        ]
+        return " ".join(terms)
+
+    return expand(rows, rows)
+
+
+_ALL = tuple(range(len(NUMBERS)))
+# Products of columns that were divided by their norm, so that the determinants stay near 1.
+_ALL_GRAM_SQL = (
+    "x AS (SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(NUMBERS))
+    + " FROM snap WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUMBERS) + ")",
+    "p AS (SELECT " + ", ".join(f"sum(x{i} * x{j}) AS p{i}{j}" for i in _ALL for j in _ALL[i:]) + " FROM x)",
+    "s AS (SELECT " + ", ".join(
+        f"p{i}{j} / sqrt(p{i}{i} * p{j}{j}) AS s{i}{j}" for i in _ALL for j in _ALL[i:]) + " FROM p)",
+)
+
+
+@query("k12_all_features", with_snapshot(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(({_determinant(_ALL[:i] + _ALL[i + 1:])}) / ({_determinant(_ALL)}), 4) AS vif FROM s"
+    for i, c in enumerate(NUMBERS)), *_ALL_GRAM_SQL))
 def _(spark, folder):
-    return profiling.variance_inflation(snapshot(spark, folder), NUMBERS)
+    return rounded(profiling.variance_inflation(snapshot(spark, folder), NUMBERS), "vif", places=4)

@@ -411,6 +411,17 @@ def _(spark, folder):
     return encoding.unseen_binary_values(drifted, schema)
 
 
+@query("d2_many_categories", """
+SELECT column_name, CAST(row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code, value
+FROM (SELECT DISTINCT 'c_name' AS column_name, c_name AS value FROM customer
+  UNION ALL SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM customer)""")
+def _(spark, folder):
+    df = spark.read.parquet(f"{folder}/customer.parquet").select("c_name", "c_mktsegment")
+    schema = encoding.fit_feature_schema(df, "Churn")
+    rows = [(c, i, v) for c, values in schema.multi.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "column_name string, code int, value string")
+
+
 @query("d6_one_hot", with_snapshot(
     "SELECT CustomerID, " + ", ".join([
         _dummies_sql(SEGMENTS, "MarketSegment"), _dummies_sql(REGIONS, "Region"),

@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.operators.cleaning import ROW_KEY, bool_columns, text_columns
-
-CATEGORY_LIMIT = 1000
+from holdfast.session import stage_table
 
 
 @dataclass(frozen=True)
@@ -51,23 +50,30 @@ class FeatureSchema:
 
 
 def distinct_values(
-    df: DataFrame, columns: Sequence[str], limit: int = CATEGORY_LIMIT
+    df: DataFrame, columns: Sequence[str], limit: int | None = None
 ) -> dict[str, list[str]]:
     """Sorted distinct non-null values of each column.
 
-    A sketch of the cardinalities goes first, so a free-text column ends in an error that names it
-    and never in an oversized set.
+    A grouped aggregate over (column, value) pairs, combined on the map side. The values become
+    features, so they come to the driver. Where a free-text column should end in an error that names it, give a
+    ``limit``: the exact numbers of values are held against it first.
     """
     if not columns:
         return {}
-    sizes = df.agg(*[
-        F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)
-    ]).first()
-    too_wide = [c for i, c in enumerate(columns) if sizes[f"d{i}"] > limit * 1.1]
-    if too_wide:
-        raise ValueError(f"columns {too_wide} have more than {limit} distinct values")
-    sets = df.agg(*[F.collect_set(c).alias(f"s{i}") for i, c in enumerate(columns)]).first()
-    return {c: sorted(sets[f"s{i}"]) for i, c in enumerate(columns)}
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(columns)
+    ])
+    values = df.select(F.explode(pairs).alias("p")).select("p.*").filter("v IS NOT NULL").distinct()
+    if limit is not None:
+        values = stage_table(values, "categories")
+        sizes = {r["i"]: r["count"] for r in values.groupBy("i").count().collect()}  # a row a column
+        too_wide = [c for i, c in enumerate(columns) if sizes.get(i, 0) > limit]
+        if too_wide:
+            raise ValueError(f"columns {too_wide} have more than {limit} distinct values")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in values.collect():
+        found[columns[r["i"]]].append(r["v"])
+    return {c: sorted(v) for c, v in found.items()}
 
 
 def binary_mapping(values: Sequence[str]) -> dict[str, int] | None:
@@ -81,7 +87,7 @@ def dummy_name(column: str, category: str) -> str:
 
 
 def fit_feature_schema(
-    df: DataFrame, target: str = "Churn", *, limit: int = CATEGORY_LIMIT
+    df: DataFrame, target: str = "Churn", *, limit: int | None = None
 ) -> FeatureSchema:
     """Two values make a binary column, more make dummies; a constant text column is left out.
 

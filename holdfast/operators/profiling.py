@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,62 +115,114 @@ def describe_numbers(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return _long(row, entries)
 
 
-def _correlation(a: str, b: str) -> Column:
-    """Over the rows where both are known; null if either does not vary there.
+def _known(batch, columns: Sequence[str]):
+    """The columns of an Arrow batch as a matrix, with a matrix of what is known; NaN counts as missing."""
+    x = np.column_stack([
+        batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(len(columns))
+    ])
+    known = ~np.isnan(x)
+    return np.where(known, x, 0.0), known.astype(float)
+
+
+def _doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
+def _pair_moments(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """(i, j, n, sx, sy, sxx, syy, sxy) of left[i] and right[j] over the rows where both are known.
+
+    One pass: every task adds up masked matrix products, and only columns x columns sums leave it. Values are
+    taken from their column's mean, so the sums of squares do not cancel.
+    """
+    columns = [*left, *right]
+    values = _doubles(df, columns)
+    row = values.agg(*[F.avg(F.nanvl(c, F.lit(None).cast("double"))).alias(c) for c in values.columns]).first()
+    centre = np.array([0.0 if m is None or not np.isfinite(m) else m for m in row])
+    a, b = len(left), len(right)
+
+    def added(batches):
+        total = np.zeros((6, a, b))
+        for batch in batches:
+            x, m = _known(batch, columns)
+            x = (x - centre) * m
+            x, y, mx, my = x[:, :a], x[:, a:], m[:, :a], m[:, a:]
+            total += np.stack([mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y])
+        i, j = np.indices((a, b))
+        names = ("n", "sx", "sy", "sxx", "syy", "sxy")
+        yield pa.RecordBatch.from_pydict({
+            "i": i.ravel().astype(np.int32), "j": j.ravel().astype(np.int32),
+            **{name: part.ravel() for name, part in zip(names, total)},
+        })
+
+    parts = values.mapInArrow(
+        added, "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    )
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+    none = df.sparkSession.range(a * b).select(
+        F.expr(f"CAST(id DIV {b} AS INT)").alias("i"), F.expr(f"CAST(id % {b} AS INT)").alias("j"),
+        *[F.lit(0.0).alias(c) for c in sums],
+    )  # a table without rows has its pairs too
+    return parts.union(none).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
+
 
-    Built from the covariance, because ``corr`` itself fails on a column without variation.
+def _correlations(df: DataFrame, left: Sequence[str], right: Sequence[str]) -> DataFrame:
+    """(left, right, correlation), pairwise complete; null where a column does not vary on these rows.
+
+    A variance below 1e-13 of the mean square is taken for the rounding of none.
     """
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+    def mean(c: str) -> Column:
+        return F.try_divide(F.col(c), F.col("n"))
+
+    def variance(c: str) -> Column:
+        v = mean(f"s{c}{c}") - mean(f"s{c}") * mean(f"s{c}")
+        return F.when(v > F.lit(1e-13) * mean(f"s{c}{c}"), v)
+
+    def name(index: str, names: Sequence[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(c) for c in names]), F.col(index) + 1)
+
+    covariance = mean("sxy") - mean("sx") * mean("sy")
+    return _pair_moments(df, left, right).orderBy("i", "j").select(
+        name("i", left).alias("left"), name("j", right).alias("right"),
+        (covariance / (F.sqrt(variance("x")) * F.sqrt(variance("y")))).alias("correlation"),
+    )
 
 
 def target_correlations(df: DataFrame, target: str, columns: Sequence[str] | None = None
                         ) -> DataFrame:
     """(column_name, correlation) with the target, pairwise complete; null without variation."""
     columns = numeric_columns(df) if columns is None else list(columns)
-    row = df.agg(*[_correlation(c, target).alias(f"r{i}") for i, c in enumerate(columns)])
-    return _long(row, [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"r{i}").alias("correlation"))
-        for i, c in enumerate(columns)
-    ])
+    return _correlations(df, columns, [target]).select(F.col("left").alias("column_name"), "correlation")
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(row_name, column_name, correlation) for all pairs; each unordered pair is computed once."""
+    """(row_name, column_name, correlation) for all pairs, in one pass."""
     columns = numeric_columns(df) if columns is None else list(columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    row = df.agg(*[
-        _correlation(columns[i], columns[j]).alias(f"r{i}_{j}") for i, j in pairs
-    ])
-    return _long(row, [
-        F.struct(
-            F.lit(a).alias("row_name"), F.lit(b).alias("column_name"),
-            F.col(f"r{min(i, j)}_{max(i, j)}").alias("correlation"),
-        )
-        for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ])
+    return _correlations(df, columns, columns).toDF("row_name", "column_name", "correlation")
 
 
 def variance_inflation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, vif), without a constant, over rows where every column is finite.
 
-    One aggregate builds the matrix of products; the driver inverts it, features by features.
+    One pass builds the matrix of products; the driver inverts it, features by features.
     """
     columns = numeric_columns(df) if columns is None else list(columns)
-    complete = F.lit(True)
-    for c in columns:
-        x = F.col(c).cast("double")
-        complete = complete & x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    sums = df.filter(complete).agg(*[
-        F.sum(F.col(columns[i]).cast("double") * F.col(columns[j]).cast("double"))
-        .alias(f"g{i}_{j}")
-        for i, j in pairs
-    ]).first()
-    gram = np.zeros((len(columns), len(columns)))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = sums[f"g{i}_{j}"] or 0.0
+    k = len(columns)
+
+    def products(batches):
+        total = np.zeros((k, k))
+        for batch in batches:
+            x, known = _known(batch, columns)
+            x = x[(known.all(axis=1)) & np.isfinite(x).all(axis=1)]
+            total += x.T @ x
+        i, j = np.indices((k, k))
+        yield pa.RecordBatch.from_pydict({
+            "i": i.ravel().astype(np.int32), "j": j.ravel().astype(np.int32), "g": total.ravel()
+        })
+
+    gram = np.zeros((k, k))
+    parts = _doubles(df, columns).mapInArrow(products, "i int, j int, g double")
+    for r in parts.groupBy("i", "j").agg(F.sum("g").alias("g")).collect():
+        gram[r["i"], r["j"]] = r["g"]
     scale = np.sqrt(np.diag(gram))
     scale[scale == 0] = 1.0
     scaled = gram / np.outer(scale, scale)

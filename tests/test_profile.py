@@ -3,6 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from holdfast.operators import profiling
 
@@ -66,3 +67,22 @@ def test_counts(table, data):
     repeated = profiling.duplicate_counts(table.union(table.limit(3)), "id").first()
     assert (repeated["duplicates_with_id"], repeated["duplicates_without_id"]) == (3, 3)
     assert tuple(profiling.table_shape(table).first()) == (120, 6)
+
+
+def test_correlations_of_shifted_and_partly_constant_columns(spark):
+    """Large offsets do not cancel, NaN is missing, and a column that is constant where both are known is null."""
+    rows = [(1e9 + i, 1e9 - 2.0 * i, 0.1 if i < 30 else float(i), float(i) if i < 30 else None,
+             float("nan") if i == 3 else float(i % 7)) for i in range(40)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    got = {(r[0], r[1]): r[2] for r in profiling.correlation_matrix(df).collect()}
+    assert got["a", "b"] == pytest.approx(-1.0)
+    assert got["c", "d"] is None
+    expected = pd.DataFrame(rows, columns=list("abcde"))[["a", "e"]].corr().loc["a", "e"]
+    assert got["a", "e"] == pytest.approx(expected)
+    empty = profiling.correlation_matrix(df.limit(0)).collect()
+    assert len(empty) == 25 and all(r[2] is None for r in empty)
+
+
+def test_correlations_of_many_columns(spark):
+    wide = spark.range(200).select(*[F.rand(i).alias(f"x{i}") for i in range(200)])
+    assert profiling.correlation_matrix(wide).count() == 40_000
