@@ -25,15 +25,15 @@ def features(text: str | None) -> np.ndarray:
     """How often each hashed run of three bytes occurs in the whole text; last, its words that repeat the one before."""
     data = (text or "").encode()
     raw = np.frombuffer(data, np.uint8)
-    counts = np.zeros(FEATURES, np.float32)
+    counts = np.zeros(FEATURES)
     for start in range(0, max(len(raw) - 2, 0), 1 << 20):
         part = raw[start: start + (1 << 20) + 2].astype(np.uint32)
         runs = (part[:-2] << 16) | (part[1:-1] << 8) | part[2:]
         hashed = ((runs * _MIX) >> np.uint32(8)) % np.uint32(FEATURES - 1)
-        counts += np.bincount(hashed, minlength=FEATURES).astype(np.float32)
+        counts += np.bincount(hashed, minlength=FEATURES)
     words = data.split()
     counts[-1] = REPEAT_WEIGHT * sum(map(operator.eq, words, words[1:]))
-    return np.minimum(counts, 65535)
+    return counts.astype(np.float32)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -71,12 +71,12 @@ class LatentVotes:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(label, counts binary): the features of every row of (label, text) as 16-bit integers."""
+    """(label, counts binary): the features of every row of (label, text) as 32-bit floats, so that no count is cut."""
     import pyarrow as pa
 
     def count(batches):
         for batch in batches:
-            rows = [features(t.as_py()).astype(np.uint16).tobytes() for t in batch.column(1)]
+            rows = [features(t.as_py()).tobytes() for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
                                              names=["label", "counts"])
 
@@ -97,13 +97,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", references:
     )
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")
     rows = counted(texts.select("label", "text")).distinct()
-    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # rows of 4 kB
+    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # rows of 8 kB
     if not found:
         empty = np.zeros((0, dimensions), np.float32)
         return LatentVotes(np.ones(FEATURES, np.float32), np.zeros((FEATURES, dimensions), np.float32),
                            empty, np.zeros(0), neighbours)
     labels = np.array([r["label"] for r in found])
-    counts = np.stack([np.frombuffer(r["counts"], np.uint16) for r in found]).astype(np.float32)
+    counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in found])
     del found
     seen = (counts > 0).sum(axis=0)
     weights = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + np.float32(0.1)

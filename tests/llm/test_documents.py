@@ -374,6 +374,16 @@ def test_quality_votes_are_brute_force(spark, small):
         assert found[r["doc_id"]] == pytest.approx((pull * model.labels[top]).sum() / pull.sum(), abs=1e-3)
 
 
+def test_quality_does_not_depend_on_length(spark):
+    text = "spam " * 40 + "some other words of a text, each of them once or twice here. "
+    short, long = quality_knn.features(text), quality_knn.features(text * 200)
+    assert long[-1] > 65535 and long[-1] == 200 * short[-1]
+    shares = [np.sqrt(x / x.sum()) for x in (short, long)]
+    assert np.abs(shares[0] - shares[1]).max() < 0.03
+    row = quality_knn.counted(spark.createDataFrame([(1.0, text * 200)], "label double, text string")).first()
+    assert np.array_equal(np.frombuffer(row["counts"], np.float32), long)
+
+
 def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0), (6, 1), (None, 1), (9, None)], "doc_id long, quality int")
     model = quality_knn.fit(odd_docs, labels)
