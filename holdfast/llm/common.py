@@ -25,6 +25,23 @@ def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return df
 
 
+def worker_memory() -> dict:
+    """A dictionary that lives as long as the Python worker, for what is slow to load; functions travel by value."""
+    import sys
+    import types
+
+    name = "holdfast_worker_memory"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+def batch_of(rows, schema):
+    """An Arrow record batch of ``rows`` (tuples in the order of ``schema``)."""
+    import pyarrow as pa
+
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def running_start(
     df: DataFrame, group: Sequence[str], size: Column, order: Sequence[Column],
     name: str = "start", buckets: int = 512, seed: int = 7,
