@@ -8,19 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.llm import (
-    best_fit, collision_search, language_kn, mixing, nn_descent, quality_knn, secret_forest,
-    simhash_tiles, url_rank, zipped_archive,
+    best_fit, collision_search, collocations, language_kn, mixing, nn_descent, quality_knn, secret_forest,
+    simhash_tiles, target_resampling, token_files, twins, url_rank, zipped_archive,
 )
 from holdfast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
-TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER, WORD_TOKENIZER = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +80,18 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_path(WORD_TOKENIZER), 2)
+
+
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_forest": secrets,
     "op2_url_rank": url_filter,
@@ -91,6 +103,12 @@ QUERIES: dict[str, Query] = {
     "op8_quality_knn": quality,
     "op9_simhash_tiles": simhash,
     "op10_language_kn": language,
+    "op11_target_resampling": resampling,
+    "op12_token_files": tokens,
+    "op13_collocations": phrases,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_target_resampling": twins.RESAMPLING,
+    "op13_collocations": twins.COLLOCATIONS,
+}
