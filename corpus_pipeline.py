@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm import best_fit, mixing, near_copies, quality_knn, secret_forest
+from holdfast.llm import best_fit, mixing, quality_knn, secret_forest, simhash_tiles
 from holdfast.llm.common import table
 from holdfast.llm.language_kn import folds
 from holdfast.llm.queries import tokenizer_path
@@ -26,8 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of every group of near copies (five-word Jaccard similarity of 0.8)."""
-    return near_copies.keep_one(docs)
+    """Keeps one document of every group of fingerprints of three-word runs linked at 2 or fewer bits.
+
+    The smallest ``doc_id`` of a group stays. Texts without a word, nulls among them, are one group.
+    """
+    return simhash_tiles.keep_one(docs, 2)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
