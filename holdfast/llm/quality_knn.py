@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -71,12 +72,12 @@ class LatentVotes:
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """(label, counts binary): the features of every row of (label, text) as 32-bit floats, so that no count is cut."""
+    """(label, counts binary): the features of every row of (label, text) as 32-bit floats, so that no count is cut, compressed."""
     import pyarrow as pa
 
     def count(batches):
         for batch in batches:
-            rows = [features(t.as_py()).tobytes() for t in batch.column(1)]
+            rows = [zlib.compress(features(t.as_py()).tobytes(), 1) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
                                              names=["label", "counts"])
 
@@ -97,25 +98,27 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", references:
     )
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(picked), "doc_id")
     rows = counted(texts.select("label", "text")).distinct()
-    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # rows of 8 kB
+    found = rows.orderBy(F.xxhash64("counts"), "label").limit(references).collect()  # about 1 kB a row
     if not found:
         empty = np.zeros((0, dimensions), np.float32)
         return LatentVotes(np.ones(FEATURES, np.float32), np.zeros((FEATURES, dimensions), np.float32),
                            empty, np.zeros(0), neighbours)
     labels = np.array([r["label"] for r in found])
-    counts = np.stack([np.frombuffer(r["counts"], np.float32) for r in found])
+    x = np.empty((len(found), FEATURES), np.float32)  # the one matrix of the fit, changed in place
+    for i, row in enumerate(found):
+        x[i] = np.frombuffer(zlib.decompress(row["counts"]), np.float32)
     del found
-    seen = (counts > 0).sum(axis=0)
-    weights = np.log((1 + len(counts)) / (1 + seen)).astype(np.float32) + np.float32(0.1)
-    x = _unit(np.sqrt(counts) * weights)
+    seen = np.count_nonzero(x, axis=0)
+    weights = np.log((1 + len(x)) / (1 + seen)).astype(np.float32) + np.float32(0.1)
+    np.sqrt(x, out=x)
+    x *= weights
+    norm = np.sqrt(np.einsum("ij,ij->i", x, x))
+    x /= np.where(norm > 0, norm, 1)[:, None]
     basis = np.linalg.qr(np.random.default_rng(1).standard_normal((FEATURES, dimensions + 16)))[0]
     for _ in range(30):  # subspace iteration towards the leading singular vectors
         basis = np.linalg.qr(x.T @ (x @ basis.astype(np.float32)))[0]
     basis = np.ascontiguousarray(basis[:, :dimensions]).astype(np.float32)
-    model = LatentVotes(weights, basis, np.zeros((0, 0)), labels, neighbours)
-    del x
-    model.vectors = np.ascontiguousarray(model.latent(counts))
-    return model
+    return LatentVotes(weights, basis, _unit(x @ basis), labels, neighbours)
 
 
 def score(docs: DataFrame, model: LatentVotes) -> DataFrame:
