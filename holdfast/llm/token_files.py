@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import batch_of, small_batches, worker_memory
 from holdfast.session import stage_table, staging_path
 
-FILE_IDS, FILE_DOCS = 1 << 28, 1 << 22
+RANGE_BYTES, FILE_IDS, FILE_DOCS = 1 << 28, 1 << 28, 1 << 22
 READ_DOCS, READ_IDS = 1 << 16, 1 << 20
 SLICE_CHARS, CACHED_PARTS, CACHED_CHARS = 1 << 20, 500_000, 64
 
@@ -56,9 +56,10 @@ def slices(text: str, size: int = SLICE_CHARS):
 def file_encoder(path: str):
     """(encode, largest id): ``encode`` gives a text's ids as the tokenizers library does, as an array.
 
-    Where ``splits_at_blanks`` holds, a text is cut at ASCII blanks, parts met before are looked up in
-    a memory of bounded size, and the library encodes the others together; with other tokenizers it gets the
-    whole text. A worker loads a tokenizer once.
+    Where ``splits_at_blanks`` holds, a text is cut at ASCII blanks, and parts met before are looked up in
+    a memory of bounded size. The library encodes the others; of a plain word, with marks after it or not, its
+    model merges the letters. With other tokenizers the library gets the whole text. A worker loads a
+    tokenizer once.
     """
     import json
     import os
@@ -66,6 +67,7 @@ def file_encoder(path: str):
 
     import numpy as np
     from tokenizers import Tokenizer
+    from tokenizers.pre_tokenizers import ByteLevel
 
     memory = worker_memory()
     if ("file_encoder", path) in memory:
@@ -74,58 +76,32 @@ def file_encoder(path: str):
     tokenizer = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         apart = splits_at_blanks(json.load(file))
-    vocab = tokenizer.get_vocab(with_added_tokens=True)
-    largest = max(vocab.values())
-    last = np.zeros(largest + 1, bool)
-    last[[i for word, i in vocab.items() if word.endswith(END_OF_WORD)]] = True
-    known: dict[str, bytes] = {"": b""}
-    stems: dict[str, bytes] = {}
-    plain = re.compile(PLAIN_WORD).fullmatch
-
-    def each(words: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
-
-    def learn_stems(new: list[str]) -> None:
-        """Encodes words of letters in one text; each ends with the one token that ends a word."""
-        if len(stems) + len(new) > CACHED_PARTS:
-            stems.clear()
-        ids = np.array(tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(last[ids]) + 1
-        if len(ends) == len(new):
-            raw, ends = ids.tobytes(), (4 * ends).tolist()
-            stems.update(zip(new, (raw[a:b] for a, b in zip([0, *ends], ends))))
-        else:
-            stems.update(zip(new, each(new)))
+    largest = max(tokenizer.get_vocab(with_added_tokens=True).values())
+    plain, merge = re.compile(PLAIN_WORD).fullmatch, tokenizer.model.tokenize
+    as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+    letters = {c: as_bytes(chr(c))[0][0] for c in range(0xC0, 0x100)}
+
+    class Parts(dict):
+        """The ids of parts of texts, found when first asked for."""
+
+        def __missing__(self, part: str) -> bytes:
+            if len(self) >= CACHED_PARTS:
+                self.clear()
+            found = plain(part)
+            if not found:
+                ids = array("I", tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+            elif found[2] or not part.islower():
+                ids = self[found[1].lower()] + (self[found[2]] if found[2] else b"")
+            else:  # one word for the merges, its letters as bytes
+                ids = array("I", [t.id for t in merge(part.translate(letters))]).tobytes()
+            if len(part) <= CACHED_CHARS:
+                self[part] = ids
+            return ids
+
+    part_ids = Parts().__getitem__
 
     def parts(text: str) -> bytes:
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        new = set(words).difference(known)
-        if len(known) + len(new) > CACHED_PARTS:
-            known.clear()
-            known[""] = b""
-            new = set(words) - {""}
-        rest, split = [], []
-        for word in new:
-            found = plain(word)
-            if found:
-                split.append((word, found[1].lower(), found[2]))
-            else:
-                rest.append(word)
-        rest += {mark for _, _, mark in split}.difference(known, rest)
-        here = known
-        if rest:
-            ids = dict(zip(rest, each(rest)))
-            known.update((w, i) for w, i in ids.items() if len(w) <= CACHED_CHARS)
-            here = known if max(map(len, rest)) <= CACHED_CHARS else known | ids
-        missing = list({stem for _, stem, _ in split}.difference(stems))
-        if missing:
-            learn_stems(missing)
-            for stem in {stem for _, stem, _ in split}.difference(stems):  # if it was emptied
-                stems[stem] = each([stem])[0]
-        for word, stem, mark in split:
-            here[word] = stems[stem] + here[mark]
-        return b"".join(map(here.__getitem__, words))
+        return b"".join(map(part_ids, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
     def encode(text: str) -> np.ndarray:
         if apart:
@@ -136,59 +112,27 @@ def file_encoder(path: str):
     return encode, largest
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, width, n, ids binary): the ids of every whole text and ``end_id``, little-endian, ``width`` bytes each.
-
-    Two bytes where the vocabulary and the end allow it, else four. A null text is empty.
-    """
-    import pyarrow as pa
-
-    schema = pa.schema([("doc_id", pa.int64()), ("width", pa.int32()), ("n", pa.int64()), ("ids", pa.binary())])
-
-    def encode(batches):
-        import numpy as np
-
-        ids_of, largest = file_encoder(tokenizer_path)
-        kind = "<u2" if max(largest, end_id) < 1 << 16 else "<u4"
-        for batch in batches:
-            rows, held = [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(ids_of(text.as_py() or ""), np.uint32(end_id)).astype(kind)
-                rows.append((doc_id, ids.itemsize, len(ids), ids.tobytes()))
-                held += ids.nbytes
-                if held > 1 << 24:
-                    yield batch_of(rows, schema)
-                    rows, held = [], 0
-            if rows:
-                yield batch_of(rows, schema)
-
-    texts = small_batches(docs.select(F.col("doc_id").cast("long"), "text"))
-    return texts.mapInArrow(encode, "doc_id long, width int, n long, ids binary")
-
-
 def write_token_files(
     docs: DataFrame, tokenizer_path: str, folder: str, end_id: int,
     file_ids: int = FILE_IDS, file_docs: int = FILE_DOCS,
 ) -> DataFrame:
     """Writes the ids of ``docs`` to ``folder`` in ascending doc_id order; (path, width, docs, null_ids, ids, base) per file.
 
-    ``<path>.bin`` holds the ids of its documents one after another, unsigned and little-endian,
-    ``width`` bytes each. ``<path>.idx`` holds 64-bit integers: where each document starts in the file and where the
+    ``<path>.bin`` holds the ids of its documents one after another, each text's and ``end_id``, unsigned and
+    little-endian, ``width`` bytes each: two where the vocabulary and the end allow it, else four.
+    ``<path>.idx`` holds 64-bit integers: where each document starts in the file and where the
     last one ends, then the doc_ids; the first ``null_ids`` documents have none (written as 0). ``base`` is the
-    number of ids in all files before this one. Texts are encoded where they are read; rows are
-    then cut into ranges of (doc_id, ids), so that rows which share an id spread. A task that runs
-    again writes files of other names, and the table returned, which is stored, names those that count.
+    number of ids in all files before this one, a running sum over the files. Texts are dealt by ranges of
+    (doc_id, text's hash, partition they come from), so that rows which share an id spread, and each range is
+    encoded and written by one task. A task that runs again writes files of other names, and the table
+    returned, which is stored, names those that count.
     """
     import pyarrow as pa
 
-    rows = stage_table(
-        encoded(docs, tokenizer_path, end_id).withColumn("sum", F.crc32("ids"))
-        .withColumn("at", F.monotonically_increasing_id()), "ids",
-    )
-    total = rows.agg(F.sum("n"), F.count("*")).first()
-    spark = docs.sparkSession
-    parts = max(-(-(total[0] or 0) // file_ids), -(-total[1] // file_docs),
-                min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(total[0] or 0) // (1 << 20))), 1)
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(-(-size // RANGE_BYTES), min(spread, -(-size // (1 << 20))), 1)
     schema = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("width", pa.int32()),
                         ("docs", pa.int64()), ("null_ids", pa.int64()), ("ids", pa.int64())])
 
@@ -198,6 +142,9 @@ def write_token_files(
         from pyarrow import fs
         from pyspark import TaskContext
 
+        encode, largest = file_encoder(tokenizer_path)
+        width = 2 if max(largest, end_id) < 1 << 16 else 4
+        end = end_id.to_bytes(width, "little")
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
         part, number, file = TaskContext.get().partitionId(), 0, None
@@ -207,30 +154,30 @@ def write_token_files(
             with system.open_output_stream(f"{name}.idx") as index:
                 index.write(memoryview(starts).cast("B"))
                 index.write(memoryview(names).cast("B"))
-            row = (part, number, name, width, len(names), nulls, starts[-1])
-            return batch_of([row], schema)
+            return batch_of([(part, number, name, width, len(names), nulls, starts[-1])], schema)
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                doc_id, n, ids = (c[row] for c in batch.columns[:3])
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 if file is None:
                     name = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-                    file, starts, names, nulls = system.open_output_stream(f"{name}.bin"), array("q", [0]), array("q"), 0
-                    width = batch.column(3)[row].as_py()
-                file.write(ids.as_buffer())
-                starts.append(starts[-1] + n.as_py())
-                nulls += not doc_id.is_valid
-                names.append(doc_id.as_py() or 0)
+                    file = system.open_output_stream(f"{name}.bin", buffer_size=1 << 20)
+                    starts, names, nulls = array("q", [0]), array("q"), 0
+                ids = encode(text.as_py())
+                file.write(ids.astype(f"<u{width}").tobytes() + end)
+                starts.append(starts[-1] + len(ids) + 1)
+                nulls += doc_id is None
+                names.append(doc_id or 0)
                 if starts[-1] >= file_ids or len(names) >= file_docs:
                     yield close()
                     file, number = None, number + 1
         if file is not None:
             yield close()
 
-    order = [F.col("doc_id").asc_nulls_first(), F.col("sum"), F.col("at")]
-    ranges = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    keyed = texts.select("*", F.xxhash64("text").alias("hash"), F.spark_partition_id().alias("origin"))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("hash"), F.col("origin")]
+    ranges = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     files = stage_table(
-        small_batches(ranges.select("doc_id", "n", "ids", "width")).mapInArrow(
+        small_batches(ranges).mapInArrow(
             write, "part int, number int, path string, width int, docs long, null_ids long, ids long"), "files",
     )
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
