@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassificationModel, GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
+    GBTClassifier, RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.operators.boosting import HistogramBooster
 from holdfast.operators.calibration import RAW, Calibrator, fit_calibrator
 from holdfast.operators.splitting import balanced_weights, class_counts, with_class_weight
 
@@ -35,20 +36,11 @@ class ForestModel(_TreesOnRequest, RandomForestClassificationModel):
     pass
 
 
-class BoostedModel(_TreesOnRequest, GBTClassificationModel):
-    pass
-
-
 class Forest(RandomForestClassifier):
     def _create_model(self, java_model):
         return ForestModel(java_model)
 
 
-class Boosted(GBTClassifier):
-    def _create_model(self, java_model):
-        return BoostedModel(java_model)
-
-
 def _positive_ratio(counts: Mapping[object, int]) -> dict[object, float]:
     return {0: 1.0, 1: counts.get(0, 0) / max(counts.get(1, 0), 1)}
 
@@ -80,20 +72,25 @@ def _forest(seed: int) -> Estimator:
 
 
 def _boosted(seed: int, **params: object) -> Estimator:
-    return Boosted(
-        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=seed,
-        maxIter=2000, stepSize=0.05, **params,
+    return HistogramBooster(
+        featuresCol=FEATURES, labelCol=LABEL, weightCol=WEIGHT, seed=seed, maxIter=2000, stepSize=0.05, **params,
     )
 
 
 def candidates() -> list[Candidate]:
-    """The three candidates; for the boosted ones ``maxIter`` is a ceiling, not a choice."""
+    """The three candidates; for the boosted ones ``maxIter`` is a ceiling, not a choice.
+
+    The balanced one grows its trees by leaves, the other by levels with a penalty on large values.
+    """
     return [
         Candidate("random_forest", _forest, balanced_weights),
-        Candidate("boosted_balanced", lambda s: _boosted(s, maxDepth=5), balanced_weights),
+        Candidate("boosted_balanced", lambda s: _boosted(s, maxLeaves=31), balanced_weights),
         Candidate(
             "boosted_sampled",
-            lambda s: _boosted(s, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8"),
+            lambda s: _boosted(
+                s, maxLeaves=0, maxDepth=6, subsamplingRate=0.8, featureShare=0.8, regLambda=1.0,
+                minInstancesPerNode=1.0, minChildWeight=1.0,
+            ),
             _positive_ratio,
         ),
     ]
@@ -161,10 +158,14 @@ def fit_with_early_stopping(
 ) -> tuple[Model, int | None]:
     """Fit; for boosted trees the held-out loss decides how many.
 
-    Boosting with a fixed seed always starts with the same trees. So a modest number is fitted
+    The histogram booster watches the loss as it goes and keeps its first trees. With Spark's own, which
+    always starts with the same trees for a seed, a modest number is fitted
     first and doubled only while the loss is still falling, and the last fit stops at the best
     iteration. Forests are fitted as they are.
     """
+    if isinstance(estimator, HistogramBooster):
+        model, best, _, _ = estimator.fit_stopped(train, held, rounds)
+        return model, best
     if not isinstance(estimator, GBTClassifier):
         return estimator.fit(train), None
     ceiling = estimator.getMaxIter()

@@ -24,6 +24,7 @@ from holdfast.operators.models import (
     fit_candidate,
 )
 from holdfast.operators.quality import CUSTOMER_RULES, QualityRules, quality_gate, require_target
+from holdfast.operators.search import Dimension, propose
 from holdfast.operators.splitting import holdout_split, stratified_folds
 from holdfast.plans.prepare import PreparedSplits, prepare_model_splits
 from holdfast.plans.results import results_table
@@ -185,30 +186,21 @@ def compare_models(
     )
 
 
-def _log_uniform(rng: random.Random, low: float, high: float) -> float:
-    return low * (high / low) ** rng.random()
-
-
-def draw_params(name: str, rng: random.Random) -> dict[str, object]:
-    """One point of the candidate's search space."""
-    if name == "boosted_sampled":
-        depth, leaf = rng.randint(3, 10), rng.randint(1, 10)
-    elif name == "boosted_balanced":
-        # 15 to 255 leaves correspond to trees of depth 4 to 8.
-        depth, leaf = rng.randint(4, 8), rng.randint(5, 100)
-    else:
-        raise ValueError(
-            f"no search for '{name}'; choose boosted_balanced or boosted_sampled"
-        )
-    return {
-        "maxIter": rng.randint(300, 1500),
-        "stepSize": _log_uniform(rng, 0.01, 0.2),
-        "maxDepth": depth,
-        "minInstancesPerNode": leaf,
-        "subsamplingRate": rng.uniform(0.5, 1.0),
-        "featureSubsetStrategy": f"{rng.uniform(0.5, 1.0):.4f}",
-        "minInfoGain": _log_uniform(rng, 1e-8, 1e-2),
-    }
+#: The ranges that a search looks at.
+_SHARED = {
+    "maxIter": Dimension(300, 1500, "int"), "stepSize": Dimension(0.01, 0.2, "log"),
+    "subsamplingRate": Dimension(0.5, 1.0), "featureShare": Dimension(0.5, 1.0),
+    "regAlpha": Dimension(1e-8, 10.0, "log"), "regLambda": Dimension(1e-8, 10.0, "log"),
+}
+SPACES = {
+    "boosted_sampled": {
+        **_SHARED, "maxDepth": Dimension(3, 10, "int"), "minChildWeight": Dimension(1, 10, "int"),
+    },
+    "boosted_balanced": {
+        **_SHARED, "maxLeaves": Dimension(15, 255, "int"), "minInstancesPerNode": Dimension(5, 100, "int"),
+        "subsamplingFreq": Dimension(1, 7, "int"),
+    },
+}
 
 
 @dataclass(frozen=True)
@@ -229,40 +221,45 @@ def tune_model(
     cv: int = 5,
     seed: int = 42,
     parallelism: int = 8,
+    batch: int = 4,
     overrides: Mapping[str, object] | None = None,
 ) -> SearchResult:
-    """Seeded random search by cross-validated ``scoring`` (pr_auc or roc_auc).
+    """Seeded search by cross-validated ``scoring`` (pr_auc or roc_auc) that learns from its trials.
 
-    All trials are scored by one grouped aggregate. ``overrides`` pins parameters, for instance a
+    ``batch`` points are proposed at a time from the trials before (see ``search.propose``), fitted side by side
+    and scored by one grouped aggregate. ``overrides`` pins parameters, for instance a
     smaller ``maxIter`` for a quick search.
     """
     if scoring not in ("pr_auc", "roc_auc"):
         raise ValueError(f"unknown scoring '{scoring}'; choose pr_auc or roc_auc")
-    rng = random.Random(seed)
-    params = [{**draw_params(name, rng), **(overrides or {})} for _ in range(n_trials)]
+    if name not in SPACES:
+        raise ValueError(f"no search for '{name}'; choose {' or '.join(sorted(SPACES))}")
+    pinned = dict(overrides or {})
+    space = {k: d for k, d in SPACES[name].items() if k not in pinned}
+    rng, spark = random.Random(seed), rows.sparkSession
+    tried: list[tuple[dict[str, object], float]] = []
     folded = folded_rows(rows, cv, seed)
     try:
-        tasks = [
-            _fold_task(candidate(name).with_params(**p), folded, f, seed, PATIENCE, None, False)
-            for p in params for f in range(cv)
-        ]
-        parts = _run_all(rows.sparkSession, tasks, parallelism)
-        scored = stage_table(
-            _union([
-                part.withColumn("trial", F.lit(i // cv)) for i, part in enumerate(parts)
-            ]),
-            "search",
-        )
+        while len(tried) < n_trials:
+            points = [propose(space, tried, rng) for _ in range(min(batch, n_trials - len(tried)))]
+            tasks = [
+                _fold_task(candidate(name).with_params(**p, **pinned), folded, f, seed, PATIENCE, None, False)
+                for p in points for f in range(cv)
+            ]
+            parts = _run_all(spark, tasks, parallelism)
+            scored = stage_table(
+                _union([part.withColumn("trial", F.lit(i // cv)) for i, part in enumerate(parts)]), "search",
+            )
+            scores = {r["trial"]: r["score"] for r in ranking_metrics(
+                scored, LABEL, PROBABILITY, by=["trial", FOLD], groups=cv * len(points)
+            ).groupBy("trial").agg(F.avg(scoring).alias("score")).collect()}
+            tried += [(p, scores[i]) for i, p in enumerate(points)]
     finally:
         folded.unpersist()
-    trials = stage_table(
-        ranking_metrics(
-            scored, LABEL, PROBABILITY, by=["trial", FOLD], groups=cv * n_trials
-        ).groupBy("trial").agg(F.avg(scoring).alias("score")),
-        "trials",
-    )
-    winner = trials.orderBy(F.desc("score"), "trial").first()
-    return SearchResult(trials, params, params[winner["trial"]])
+    trials = spark.createDataFrame(
+        [(i, float(score)) for i, (_, score) in enumerate(tried)], "trial int, score double")
+    params = [{**p, **pinned} for p, _ in tried]
+    return SearchResult(trials, params, params[max(range(n_trials), key=lambda i: (tried[i][1], -i))])
 
 
 def tuned_candidate(name: str, best: Mapping[str, object]) -> Candidate:

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
-from conftest import customer_rows
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
+from rows import customer_rows
 
-from holdfast.operators import calibration, importance, models
+from holdfast.operators import boosting, calibration, importance, models, search
 from holdfast.plans import training
 from holdfast.plans.scoring import flagged_count, score_batch, score_files
 from holdfast.session import staging_path
@@ -31,7 +34,7 @@ def test_training_job(spark, run):
     values = {(r["section"], r["item"], r["metric"]): r["value"] for r in result.results.collect()}
     assert values["provenance", "", "raw_rows"] == 180
     assert values["test", "", "n_rows"] == 36
-    assert values["test", "", "pr_auc"] > 0.95
+    assert values["test", "", "pr_auc"] > 0.8
     assert result.oof.rows.count() == 144
     assert result.oof.rows.select("row_key").distinct().count() == 144
     assert {s for s, _, _ in values} >= {
@@ -126,8 +129,8 @@ def test_registry():
     ]
     assert models.candidate("random_forest").estimator(1).getNumTrees() == 400
     boosted = models.candidate("boosted_sampled").estimator(1)
-    assert (boosted.getStepSize(), boosted.getMaxDepth(), boosted.getSubsamplingRate()) == (
-        0.05, 6, 0.8)
+    assert (boosted.getStepSize(), boosted.getMaxDepth(), boosted.getSubsamplingRate(), boosted.getMaxIter()) == (
+        0.05, 6, 0.8, 2000)
     with pytest.raises(ValueError, match="random_forest, boosted_balanced"):
         models.candidate("nope")
     with pytest.raises(ValueError, match="boosting search"):
@@ -157,6 +160,114 @@ def test_early_stopping_finds_the_best_iteration(spark):
     assert model.evaluateEachIteration(held)[-1] == pytest.approx(full[best - 1])
 
 
+def own_boosting(x, y, w, rounds, step, max_leaves, max_depth, least, l1, l2):
+    """(margins after each round, splits): leaf by leaf, every leaf looked at anew before each split."""
+    base = np.log((w * y).sum() / (w * (1 - y)).sum())
+    margin, after, made = np.full(len(y), base), [], []
+
+    def score(g, h):
+        return max(abs(g) - l1, 0) ** 2 / (h + l2)
+
+    for k in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = w * (p - y), w * p * (1 - p)
+        leaves, depth = {0: np.arange(len(y))}, {0: 0}
+        while len(leaves) < max_leaves:
+            found = []
+            for node, rows in leaves.items():
+                if depth[node] >= max_depth:
+                    continue
+                for f in range(x.shape[1]):
+                    for cut in sorted(set(x[rows, f]))[:-1]:
+                        a, b = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                        if min(len(a), len(b)) >= least:
+                            gain = (score(g[a].sum(), h[a].sum()) + score(g[b].sum(), h[b].sum())
+                                    - score(g[rows].sum(), h[rows].sum()))
+                            found.append((-gain, node, f, cut, a, b))
+            best = min(found, key=lambda s: (round(s[0], 9), *s[1:4]), default=None)
+            if best is None or -best[0] <= 1e-12:
+                break
+            _, node, f, cut, a, b = best
+            new = 2 * len(made_here(made, k)) + 1
+            made.append((k, node, f, -best[0], len(a), len(b)))
+            leaves.pop(node)
+            leaves.update({new: a, new + 1: b})
+            depth.update({new: depth[node] + 1, new + 1: depth[node] + 1})
+        for rows in leaves.values():
+            total = g[rows].sum()
+            margin[rows] -= step * np.sign(total) * max(abs(total) - l1, 0) / (h[rows].sum() + l2)
+        after.append(margin.copy())
+    return after, made
+
+
+def made_here(made, k):
+    return [m for m in made if m[0] == k]
+
+
+@pytest.mark.parametrize("leaves, depth, l1, l2", [(5, 0, 0.0, 0.0), (0, 2, 0.5, 1.0), (12, 4, 0.0, 2.0)])
+def test_boosting_is_brute_force(spark, leaves, depth, l1, l2):
+    rng = np.random.default_rng(leaves)
+    x = rng.integers(0, 7, (300, 3)).astype(float)
+    y = (rng.random(300) < 1 / (1 + np.exp(1 - x[:, 0] * (x[:, 1] > 2)))).astype(int)
+    w = np.where(y == 1, 2.0, 1.0)
+    rows = spark.createDataFrame([(int(b), float(c), *map(float, a)) for a, b, c in zip(x, y, w)],
+                                 "label int, weight double, a double, b double, c double").repartition(3)
+    vectors = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    booster = boosting.HistogramBooster(
+        weightCol="weight", maxIter=4, stepSize=0.3, maxLeaves=leaves, maxDepth=depth, minInstancesPerNode=5.0,
+        regAlpha=l1, regLambda=l2)
+    model, n, _, splits = booster.fit_stopped(vectors)
+    margins, made = own_boosting(x, y, w, 4, 0.3, leaves or 10**6, depth or 10**6, 5, l1, l2)
+    assert n == 4 and [(k, node, s.feature, s.left[2], s.right[2]) for k, node, s in splits] == [
+        (k, node, f, a, b) for k, node, f, _, a, b in made]
+    assert [s.gain for _, _, s in splits] == pytest.approx([m[3] for m in made])
+    wanted = {tuple(a): 1 / (1 + np.exp(-m)) for a, m in zip(x, margins[-1])}
+    for r in model.transform(vectors).collect():
+        assert r["prediction"] == pytest.approx(wanted[r["a"], r["b"], r["c"]])
+
+
+def test_boosting_stops_without_a_refit(spark, monkeypatch):
+    train, held = noisy_rows(spark, 400, 1).persist(), noisy_rows(spark, 300, 2).persist()
+    monkeypatch.setattr(boosting, "STORE_EVERY", 2)
+    booster = boosting.HistogramBooster(maxIter=40, stepSize=0.4, maxLeaves=4, maxDepth=0, subsamplingRate=0.7,
+                                        featureShare=0.5, subsamplingFreq=2)
+    model, best, losses, _ = booster.fit_stopped(train, held, 4)
+    assert best == model.getNumTrees == int(np.argmin(losses)) and len(losses) == best + 5
+    scored = model.transform(held).select("label", "prediction").collect()
+    assert losses[best] == pytest.approx(-np.mean([np.log(p if y else 1 - p) for y, p in scored]))
+    monkeypatch.setattr(boosting, "STORE_EVERY", 16)
+    prefix, _, _, _ = booster.copy({booster.maxIter: best}).fit_stopped(train)
+    again = prefix.transform(held).select("prediction").collect()
+    assert [r[0] for r in again] == pytest.approx([p for _, p in scored])
+
+
+def test_boosting_of_few_rows(spark):
+    rows = noisy_rows(spark, 30, 3)
+    empty = rows.filter("label > 1")
+    for part, wanted in ((empty, 0.5), (rows.filter("label = 1"), 1.0)):
+        model = boosting.HistogramBooster(maxIter=3).fit(part)
+        assert {round(r["prediction"], 6) for r in model.transform(rows).collect()} == {wanted}
+    assert boosting.HistogramBooster().fit(rows).transform(empty).collect() == []
+
+
+def test_search_learns(spark):
+    space = {"a": search.Dimension(0.0, 1.0), "b": search.Dimension(1e-4, 10.0, "log"), "c": search.Dimension(1, 40, "int")}
+
+    def score(p):
+        return -((p["a"] - 0.7) ** 2) - (np.log10(p["b"]) / 5 + 0.3) ** 2 - ((p["c"] - 9) / 40) ** 2
+
+    better = 0
+    for seed in range(12):
+        rng, trials = random.Random(seed), []
+        for _ in range(15):
+            trials += [(p, score(p)) for p in [search.propose(space, trials, rng) for _ in range(4)]]
+        assert all(1 <= p["c"] <= 40 and isinstance(p["c"], int) and 1e-4 <= p["b"] <= 10 for p, _ in trials)
+        drawn = [{k: d.from_unit(rng.random()) for k, d in space.items()} for _ in range(60)]
+        better += max(s for _, s in trials) > max(map(score, drawn))
+    assert better >= 10
+    assert search.propose(space, [], random.Random(3)) == search.propose(space, [], random.Random(3))
+
+
 def test_isotonic_matches_pool_adjacent_violators(spark):
     rng = np.random.default_rng(6)
     p = np.round(rng.random(300), 2)
@@ -233,8 +344,9 @@ def test_comparison_and_search(spark):
                                 overrides={"maxIter": 2, "maxDepth": 2})
     scores = {r["trial"]: r["score"] for r in found.trials.collect()}
     assert found.best == found.params[max(scores, key=lambda t: (scores[t], -t))]
-    again = training.draw_params("boosted_sampled", __import__("random").Random(42))
-    assert again["stepSize"] == found.params[0]["stepSize"]
+    space = {k: d for k, d in training.SPACES["boosted_sampled"].items() if k not in ("maxIter", "maxDepth")}
+    again = search.propose(space, [], random.Random(42))
+    assert again == {k: v for k, v in found.params[0].items() if k in space}
     assert training.tuned_candidate("boosted_sampled", found.best).estimator().getMaxIter() == 2
     with pytest.raises(ValueError, match="scoring"):
         training.tune_model(rows, scoring="recall")
