@@ -12,8 +12,9 @@ from holdfast.llm.common import batch_of, small_batches
 from holdfast.session import stage_table
 
 LONGEST, MIN_COUNT, KEPT = 5, 100, 2000
-SLICE_CHARS, CHUNK_WORDS, CACHED_WORDS = 1 << 20, 1 << 20, 300_000
+SLICE_CHARS, CHUNK_WORDS, CACHED_WORDS = 1 << 20, 1 << 19, 200_000
 PART_BYTES = 1 << 30
+KEY_BITS = 40
 FILTER_BITS = 1 << 29
 #: What ends a piece of text, beside line breaks; words are parted by blanks and tabs.
 STOPS = ".,;:!?"
@@ -139,6 +140,25 @@ def run_keys(words: np.ndarray, hashes: np.ndarray, langs: np.ndarray, skip: int
         yield n, starts, grown[starts]
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Ascending 64-bit numbers as planes of bytes of their differences, compressed."""
+    import pyarrow as pa
+
+    steps = np.diff(numbers, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T)
+    used = 8 - int(np.argmax(planes[::-1].any(axis=1)))
+    return bytes([used]) + pa.compress(planes[:used].tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    import pyarrow as pa
+
+    used = data[0]
+    steps = np.zeros((8, n), np.uint8)
+    steps[:used] = np.frombuffer(pa.decompress(data[1:], used * n, "zstd"), np.uint8).reshape(used, n)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 class Summary:
     """A Misra-Gries summary of weighted keys: counts that fall short of the true ones by at most ``error``.
 
@@ -203,7 +223,8 @@ def _chunks(batches, longest: int):
 
 
 def frequent_keys(docs: DataFrame, threshold: int, longest: int = LONGEST) -> DataFrame:
-    """(key): keys of all runs of 1 to ``longest`` words that occur ``threshold`` times or more in a language, and some others.
+    """(key): the low ``KEY_BITS`` bits of the keys of all runs of 1 to ``longest`` words that occur ``threshold`` times or
+    more in a language, and some others.
 
     Each task counts the runs of a chunk and sends them, by a hash of the key, to partitions; there
     they meet the mass of the whole partition first and are then merged into a summary whose capacity exceeds
@@ -216,30 +237,33 @@ def frequent_keys(docs: DataFrame, threshold: int, longest: int = LONGEST) -> Da
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    shape = pa.schema([("part", pa.int32()), ("mass", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+    shape = pa.schema([("part", pa.int32()), ("mass", pa.int64()), ("n", pa.int64()),
+                       ("keys", pa.binary()), ("counts", pa.binary())])
 
     def local(batches):
         ids, mass = WordIds(), np.zeros(parts, np.int64)
         for stream in _chunks(batches, longest):
             words = ids(stream.tokens)
             names, langs = stream.languages()
-            hashes = np.array(ids.hashes, np.uint64)
-            found = [k for _, _, k in run_keys(words, hashes, _lang_hash(names)[langs], stream.skip, longest)]
-            keys, counts = np.unique(np.concatenate(found), return_counts=True)
-            to = (keys >> np.uint64(40)).astype(np.int64) % parts
-            mass += np.bincount(to, counts, parts).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            ends = np.searchsorted(to[order], np.arange(parts + 1))
-            small = counts.astype(np.uint32)
-            rows = []
-            for p in np.flatnonzero(np.diff(ends)).tolist():
-                mine = order[ends[p]: ends[p + 1]]
-                rows.append((p, None, keys[mine].tobytes(), zlib.compress(small[mine].tobytes(), 1)))
-                if len(rows) == 256:
+            hashes, lang_hash = np.array(ids.hashes, np.uint64), _lang_hash(names)[langs]
+            for _, _, keys in run_keys(words, hashes, lang_hash, stream.skip, longest):
+                keys, counts = np.unique(keys, return_counts=True)
+                to = ((keys >> np.uint64(KEY_BITS)) % np.uint64(parts)).astype(np.int64)
+                keys &= np.uint64((1 << KEY_BITS) - 1)
+                mass += np.bincount(to, counts, parts).astype(np.int64)
+                order = np.lexsort((keys, to))
+                ends = np.searchsorted(to[order], np.arange(parts + 1))
+                rows = []
+                for p in np.flatnonzero(np.diff(ends)).tolist():
+                    mine = order[ends[p]: ends[p + 1]]
+                    sums = np.cumsum(counts[mine]).astype(np.uint64)
+                    rows.append((p, None, len(mine), packed(keys[mine]), packed(sums)))
+                    if len(rows) == 256:
+                        yield batch_of(rows, shape)
+                        rows = []
+                if rows:
                     yield batch_of(rows, shape)
-                    rows = []
-            yield batch_of(rows, shape)
-        yield batch_of([(p, int(m), None, None) for p, m in enumerate(mass) if m], shape)
+        yield batch_of([(p, int(m), None, None, None) for p, m in enumerate(mass) if m], shape)
 
     def merged(batches):
         keys_of = pa.schema([("key", pa.int64())])
@@ -251,7 +275,7 @@ def frequent_keys(docs: DataFrame, threshold: int, longest: int = LONGEST) -> Da
                 yield pa.RecordBatch.from_arrays([pa.array(found[start: start + (1 << 16)].view(np.int64))], schema=keys_of)
 
         for batch in batches:
-            for p, m, keys, counts in zip(*batch.columns):
+            for p, m, n, keys, counts in zip(*batch.columns):
                 if p.as_py() != part:
                     yield from frequent()
                     part, mass, summary = p.as_py(), 0, None
@@ -260,11 +284,11 @@ def frequent_keys(docs: DataFrame, threshold: int, longest: int = LONGEST) -> Da
                     continue
                 if summary is None:
                     summary = Summary(mass // threshold + 1)
-                small = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint32)
-                summary.merge(np.frombuffer(keys.as_buffer(), np.uint64), small.astype(np.int64))
+                sums = unpacked(counts.as_py(), n.as_py()).astype(np.int64)
+                summary.merge(unpacked(keys.as_py(), n.as_py()), np.diff(sums, prepend=0))
         yield from frequent()
 
-    sent = texts.mapInArrow(local, "part int, mass long, keys binary, counts binary")
+    sent = texts.mapInArrow(local, "part int, mass long, n long, keys binary, counts binary")
     grouped = sent.repartitionById(parts, "part").sortWithinPartitions("part", F.col("mass").desc_nulls_last())
     return stage_table(small_batches(grouped).mapInArrow(merged, "key long"), "frequent")
 
@@ -277,6 +301,7 @@ class KeyFilter:
         self.field = np.zeros(bits // 8, np.uint8) if field is None else field
 
     def places(self, keys: np.ndarray):
+        keys = keys & np.uint64((1 << KEY_BITS) - 1)
         mask = np.uint64(self.bits - 1)
         for shift in (0, 21, 42):
             yield (_mixed(keys + np.uint64(shift)) >> np.uint64(8)) & mask
