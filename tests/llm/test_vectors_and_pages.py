@@ -289,3 +289,21 @@ def test_own_packages_are_read_by_others():
 def test_broken_packages(raw):
     with pytest.raises(ValueError):
         zipped_archive.read_directory(ranges(raw), len(raw))
+
+
+def test_groups_whose_lists_are_full_still_meet(spark):
+    """Two dense groups, far more links inside each than a list holds, and links between them."""
+    rng = np.random.default_rng(12)
+    centre, other = np.eye(32)[0], np.eye(32)[1]
+    angle = 0.42
+    second = np.cos(angle) * centre + np.sin(angle) * other
+    x = np.concatenate([c + 0.022 * rng.standard_normal((200, 32)) for c in (centre, second)]).astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    across = near[:200, 200:].mean()
+    assert 0.05 < across < 0.9 and near[:200, :200].sum() == 200 * 199
+    rows = [(i, list(map(float, v))) for i, v in enumerate(x)]
+    found = nn_descent.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 0.9).collect()
+    assert {r["component_id"] for r in found} == {0}
+    assert {r["vec_id"]: r["n_links"] for r in found} == dict(enumerate(near.sum(axis=1).tolist()))
