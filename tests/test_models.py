@@ -294,6 +294,25 @@ def test_isotonic_matches_pool_adjacent_violators(spark):
         [expected[grid[0]], expected[grid[-1]]])
 
 
+def test_isotonic_of_many_scores(spark):
+    """Every score its own, more ranges than steps in some, and steps that span ranges."""
+    rng = np.random.default_rng(11)
+    p = rng.random(60_000)
+    y = (rng.random(60_000) < np.where(p < 0.5, 0.3, p)).astype(int)
+    rows = spark.createDataFrame([(float(a), 1.0, float(b)) for a, b in zip(p, y)], "raw double, n double, positives double")
+    steps = sorted(map(tuple, calibration.isotonic_blocks(rows.repartition(7), "raw").collect()))
+    order = np.argsort(p)
+    wanted = []
+    for x, label in zip(p[order], y[order]):
+        wanted.append([x, x, 1, label])
+        while len(wanted) > 1 and wanted[-2][3] / wanted[-2][2] >= wanted[-1][3] / wanted[-1][2]:
+            low, high = wanted[-2], wanted.pop()
+            wanted[-1] = [low[0], high[1], low[2] + high[2], low[3] + high[3]]
+    assert steps == [tuple(map(float, w)) for w in wanted]
+    odd = spark.createDataFrame([(None, 1.0, 1.0), (float("nan"), 1.0, 0.0)], "raw double, n double, positives double")
+    assert calibration.isotonic_blocks(odd, "raw").collect() == []
+
+
 def test_sigmoid_minimizes_the_smoothed_loss(spark):
     rng = np.random.default_rng(9)
     p = rng.random(400)
