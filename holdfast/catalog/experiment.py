@@ -317,6 +317,32 @@ def _(spark, folder):
     return itt.permutation_p_value(cells, 10_000, 42)
 
 
+_EXACT_SQL = """
+SELECT round(sum(p), 9) AS p_value_exact FROM (
+  WITH RECURSIVE dist AS (
+    SELECT 0::BIGINT AS b, 0::BIGINT AS k, 1.0::DOUBLE AS p
+    UNION ALL
+    SELECT d.b + 1, d.k + m.k, sum(d.p * m.p) FROM dist d JOIN chances m ON m.b = d.b + 1 GROUP BY 1, 2)
+  SELECT k, p FROM dist WHERE b = (SELECT max(b) FROM chances)), (
+  SELECT sum(t) AS nt, sum(n - t) AS nc, sum(pos) AS pos, sum(tp)::DOUBLE / sum(t) - sum(pos - tp)::DOUBLE / sum(n - t) AS d
+  FROM bands)
+WHERE abs(k::DOUBLE / nt - (pos - k)::DOUBLE / nc) >= abs(d) - 1e-12"""
+_BANDS_SQL = """
+bands AS (SELECT row_number() OVER (ORDER BY risk_band) AS b, count(*) AS n, sum(outcome)::BIGINT AS pos,
+  count(*) FILTER (treatment_group = 'treatment') AS t,
+  coalesce(sum(outcome) FILTER (treatment_group = 'treatment'), 0)::BIGINT AS tp FROM joined GROUP BY risk_band)"""
+_CHANCES_SQL = """
+chances AS (SELECT b, k, exp(lgamma(pos + 1) - lgamma(k + 1) - lgamma(pos - k + 1) + lgamma(n - pos + 1)
+    - lgamma(t - k + 1) - lgamma(n - pos - t + k + 1) - lgamma(n + 1) + lgamma(t + 1) + lgamma(n - t + 1)) AS p
+  FROM bands, range(greatest(0, t - (n - pos)), least(t, pos) + 1) AS r(k))"""
+
+
+@query("j7_exact_p_value", with_scores(_EXACT_SQL, *_JOINED_SQL, _BANDS_SQL, _CHANCES_SQL))
+def _(spark, folder):
+    cells = itt.outcome_cells(*_stored_experiment(spark, folder))
+    return spark.createDataFrame([(round(itt.exact_p_value(cells), 9),)], "p_value_exact double")
+
+
 @query("j8_label_shuffle", with_scores("""
 SELECT CAST(permutation AS INTEGER) AS permutation,
   round(avg(CASE WHEN place <= k THEN outcome::DOUBLE END)
@@ -356,7 +382,7 @@ def _(spark, folder):
 @query("j11_analysis_report")
 def _(spark, folder):
     report = itt.analyze_experiment(
-        *_stored_experiment(spark, folder), n_permutations=2_000, random_state=42
+        *_stored_experiment(spark, folder), n_permutations=10_000, random_state=42
     )
     return report.overall
 
@@ -370,7 +396,7 @@ SELECT n_treatment, n_control, {_RATES_SQL}, (SELECT CAST(count(DISTINCT risk_ba
 FROM effect""", *_JOINED_SQL, _effect_sql()))
 def _(spark, folder):
     assigned, outcomes = _stored_experiment(spark, folder)
-    report = itt.analyze_experiment(assigned, outcomes, n_permutations=1_000)
+    report = itt.analyze_experiment(assigned, outcomes, n_permutations=10_000)
     record = analysis_record(report, assigned, outcomes, "outcome", 42)
     out = record.select(
         *[f"overall.{c}" for c in ("n_treatment", "n_control", "rate_treatment", "rate_control",
