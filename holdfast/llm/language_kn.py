@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 from holdfast.llm.common import small_batches
 from holdfast.session import stage_table
 
-ORDER, BITS = 4, 12
+ORDER, BITS = 4, 16
 GAP, UNKNOWN, FIRST = 0, 1, 2
 SAMPLE_DOCS = 2000
-MAX_TYPES = 200_000
-MAX_SYMBOLS = 4000
-MAX_LANGUAGES = 500
+SAMPLE_ALL, SAMPLE_LEAST = 200_000, 50
+MAX_SYMBOLS = (1 << BITS) - 2
 _BUCKETS = 256
 _MASK = np.uint64((1 << BITS) - 1)
 
@@ -127,11 +126,12 @@ class LanguageModel:
     limits: np.ndarray
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_types: int = MAX_TYPES) -> LanguageModel:
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_all: int = SAMPLE_ALL) -> LanguageModel:
     """Models of every ``lang`` of ``docs`` (doc_id, text, lang); null langs and texts teach nothing.
 
-    At most ``sample_docs`` documents a language are read, those with the smallest hashes, and the ``max_types``
-    most frequent runs of four characters are kept for all languages together; both are bounds of the model's size. A fifth
+    At most ``sample_docs`` documents a language are read, those with the smallest hashes, and of many languages so many
+    fewer (but 50 at least) that all together are about ``sample_all``: the bound of the model's size. All
+    runs of four characters in them count, and every language is learned, from one document if there is no more. A fifth
     of the sample is set aside to calibrate: a text is rejected where its cross-entropy is above that of
     999 in 1000 of its language there.
     """
@@ -139,35 +139,36 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, max_types: int = MAX_TY
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         "doc_id", "text", F.col("lang").cast("string"), place.alias("_h")
     )
+    languages = labelled.select("lang").distinct().count()
+    sample_docs = min(sample_docs, max(SAMPLE_LEAST, sample_all // max(languages, 1)))
     # The smallest of every bucket first, so that no task sorts a whole language.
     first = labelled.select("lang", "_h", F.pmod(F.xxhash64("_h"), F.lit(_BUCKETS)).alias("_bucket"))
-    for keys in (("lang", "_bucket"), ("lang",)):
-        place_in = F.row_number().over(Window.partitionBy(*keys).orderBy("_h"))
+    for bucket in ("_bucket", F.col("_bucket") % 16, F.lit(0)):
+        place_in = F.row_number().over(Window.partitionBy("lang", bucket).orderBy("_h"))
         first = first.withColumn("_n", place_in).filter(F.col("_n") <= sample_docs)
-    cuts = first.groupBy("lang").agg(F.max("_h").alias("cut")).limit(MAX_LANGUAGES + 1).collect()
-    if len(cuts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    cuts = first.groupBy("lang").agg(F.max("_h").alias("cut"), F.min("_h").alias("low")).collect()  # a row a language
     if not cuts:
         return LanguageModel([], np.array([ord("a")], np.uint32), [], np.zeros(0))
-    limits = docs.sparkSession.createDataFrame([tuple(r) for r in cuts], "lang string, cut long")
+    limits = docs.sparkSession.createDataFrame([tuple(r) for r in cuts], "lang string, cut long, low long")
     chosen = labelled.join(F.broadcast(limits), "lang").filter("_h <= cut")
-    sample = stage_table(chosen.select("doc_id", "text", "lang", "_h"), "language_sample")
-    learn = sample.filter("pmod(_h, 5) != 0").select("lang", "text")
+    learns = (F.pmod("_h", F.lit(5)) != 0) | (F.col("_h") == F.col("low"))
+    sample = stage_table(chosen.select("doc_id", "text", "lang", learns.alias("learns")), "language_sample")
+    learn = sample.filter("learns").select("lang", "text")
     known = _alphabet(learn)
-    rows = _gram_counts(learn, known).orderBy(F.desc("n"), "lang", "key").limit(max_types).collect()
-    by_lang: dict[str, list] = {}
-    for r in rows:
-        by_lang.setdefault(r["lang"], []).append((r["key"], r["n"]))
-    languages = sorted(by_lang)
-    models = []
+    found = _gram_counts(learn, known).toArrow()  # the runs of the sample, 16 bytes and a name each
+    names = found.column("lang").combine_chunks().dictionary_encode()
+    codes, keys, counts = names.indices.to_numpy(), found.column("key").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.lexsort((keys, codes))
+    codes, keys, counts = codes[order], keys[order], counts[order]
+    words = names.dictionary.to_pylist()
+    languages, models = sorted(words), []
     for lang in languages:
-        pairs = sorted(by_lang[lang])
-        keys = np.array([k for k, _ in pairs], np.uint64)
-        models.append(KneserNey.fit(keys, np.array([n for _, n in pairs]), len(known) + FIRST))
+        first_at, end = np.searchsorted(codes, [words.index(lang), words.index(lang) + 1])
+        models.append(KneserNey.fit(keys[first_at:end], counts[first_at:end], len(known) + FIRST))
     model = LanguageModel(languages, known, models, np.full(len(languages), np.inf))
     if not languages:
         return model
-    held = predict(sample.filter("pmod(_h, 5) = 0").select("doc_id", "text", "lang"), model, keep=("lang",))
+    held = predict(sample.filter("not learns").select("doc_id", "text", "lang"), model, keep=("lang",))
     cuts = {
         r["lang"]: r["cut"] for r in held.filter("lang = lang_pred").groupBy("lang")
         .agg(F.percentile_approx("entropy", 0.999, 10000).alias("cut")).collect()
@@ -233,7 +234,7 @@ def predict(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ()) -
     import pyarrow as pa
 
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_TYPES
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample
 
     def scored(batches):
         m = shared.value

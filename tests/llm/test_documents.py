@@ -355,6 +355,26 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
 
 # language
 
+def test_every_language_is_learned_however_rare(spark):
+    """Forty scripts of unequal size, one with a single document: none is crowded out."""
+    rng = np.random.default_rng(8)
+    starts = [0x0370, 0x0430, 0x0561, 0x05D0, 0x0628, 0x0905, 0x0E01, 0x10D0, 0x1200, 0x13A0]
+    rows = []
+    for k in range(40):
+        letters = [chr(starts[k % 10] + 4 * (k // 10) + i) for i in range(6)]
+        for _ in range(1 if k == 39 else 4 if k == 38 else 40):
+            text = " ".join("".join(rng.choice(letters, 5)) for _ in range(30))
+            rows.append((len(rows), text, f"l{k:02d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_kn.fit(docs)
+    assert model.languages == sorted({r[2] for r in rows})
+    found = {r["doc_id"]: r["lang_pred"] for r in language_kn.predict(docs, model).collect()}
+    assert all(found[i] == lang for i, _, lang in rows if lang in ("l38", "l39"))
+    assert np.mean([found[i] == lang for i, _, lang in rows]) > 0.95
+    few = language_kn.fit(docs, sample_all=100)
+    assert few.languages == model.languages
+
+
 def test_language_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.1"
     docs = documents(spark, folder)
