@@ -19,6 +19,7 @@ from holdfast.catalog.inputs import (
 )
 from holdfast.catalog.registry import query
 from holdfast.operators import calibration, cleaning, importance, models
+from holdfast.operators.boosting import HistogramBooster
 from holdfast.operators.cleaning import ROW_KEY
 from holdfast.operators.models import LABEL
 from holdfast.plans import training
@@ -112,6 +113,57 @@ def _(spark, folder):
     return _tested(spark, folder, "boosted_balanced")
 
 
+_SPLIT_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+_LEAVES, _ROUNDS, _STEP = 4, 2, 0.3
+
+
+def _splits_sql() -> str:
+    """Boosting step by step: each split looks at every value of every feature of every leaf."""
+    some = ", ".join(f"CAST({c} AS DOUBLE) AS f{i}" for i, c in enumerate(_SPLIT_FEATURES))
+    parts = [f"""r0 AS MATERIALIZED (SELECT *, ln(avg(y) OVER () / (1 - avg(y) OVER ())) AS m
+  FROM (SELECT {some}, CAST(l_returnflag = 'R' AS INTEGER)::DOUBLE AS y FROM lineitem))"""]
+    asked = " ".join(f"WHEN {i} THEN f{i}" for i in range(len(_SPLIT_FEATURES)))
+    found = []
+    for k in range(_ROUNDS):
+        parts.append(f"""s{k}_0 AS MATERIALIZED (SELECT *, p - y AS g, p * (1 - p) AS h, 0 AS node
+  FROM (SELECT *, 1 / (1 + exp(-m)) AS p FROM r{k}))""")
+        for i in range(1, _LEAVES):
+            old, values = f"s{k}_{i - 1}", " UNION ALL ".join(
+                f"SELECT node, {f} AS feature, f{f} AS x, sum(g) AS g, sum(h) AS h, count(*) AS c FROM s{k}_{i - 1} GROUP BY ALL"
+                for f in range(len(_SPLIT_FEATURES)))
+            parts.append(f"""b{k}_{i} AS MATERIALIZED (SELECT *, gl * gl / (hl + 1) + (ga - gl) * (ga - gl) / (ha - hl + 1)
+    - ga * ga / (ha + 1) AS gain
+  FROM (SELECT node, feature, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(c) OVER w AS cl, sum(g) OVER a AS ga,
+    sum(h) OVER a AS ha, sum(c) OVER a AS ca FROM ({values})
+    WINDOW w AS (PARTITION BY node, feature ORDER BY x), a AS (PARTITION BY node, feature))
+  WHERE cl >= 20 AND ca - cl >= 20 AND hl >= 1e-3 AND ha - hl >= 1e-3
+  ORDER BY gain DESC, node, feature, x LIMIT 1)""")
+            parts.append(f"""s{k}_{i} AS MATERIALIZED (SELECT o.* REPLACE (CASE WHEN o.node <> b.node THEN o.node
+    WHEN CASE b.feature {asked} END <= b.x THEN {2 * i - 1} ELSE {2 * i} END AS node) FROM {old} o, b{k}_{i} b)""")
+            found.append(f"SELECT {k} AS round, node, feature, x, gain, cl, ca FROM b{k}_{i}")
+        parts.append(f"""r{k + 1} AS MATERIALIZED (SELECT y, {", ".join(f"f{f}" for f in range(len(_SPLIT_FEATURES)))},
+    m - {_STEP} * sum(g) OVER l / (sum(h) OVER l + 1) AS m FROM s{k}_{_LEAVES - 1} WINDOW l AS (PARTITION BY node))""")
+    shape = """CAST(round AS INTEGER) AS round, CAST(node AS INTEGER) AS node, CAST(feature AS INTEGER) AS feature,
+  x AS cut, round(gain, 5) AS gain, CAST(cl AS BIGINT) AS n_left, CAST(ca - cl AS BIGINT) AS n_right"""
+    loss = f"""(SELECT round(avg(greatest(m, 0) - y * m + ln(1 + exp(-abs(m)))), 9) FROM r{_ROUNDS}) AS loss"""
+    return f"WITH {', '.join(parts)} SELECT {shape}, {loss} FROM ({' UNION ALL '.join(found)})"
+
+
+@query("f2_boosted_splits", _splits_sql())
+def _(spark, folder):
+    """Every split of the first trees, and the loss after them, over all lines."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), *[F.col(c).cast("double") for c in _SPLIT_FEATURES])
+    rows = VectorAssembler(inputCols=list(_SPLIT_FEATURES), outputCol=models.FEATURES).transform(lines)
+    booster = HistogramBooster(maxIter=_ROUNDS, stepSize=_STEP, maxLeaves=_LEAVES, regLambda=1.0)
+    model, _, losses, splits = booster.fit_stopped(rows, rows, rounds=_ROUNDS + 1)
+    cuts = model.cuts
+    return spark.createDataFrame(
+        [(k, node, s.feature, cuts[s.feature][s.cut], round(s.gain, 5), int(s.left[2]), int(s.right[2]),
+          round(losses[_ROUNDS], 9)) for k, node, s in splits],
+        "round int, node int, feature int, cut double, gain double, n_left long, n_right long, loss double")
+
+
 @query("f3_boosted_sampled")
 def _(spark, folder):
     return _tested(spark, folder, "boosted_sampled")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from holdfast.catalog.inputs import (
@@ -412,14 +413,32 @@ def _(spark, folder):
 
 
 @query("d2_many_categories", """
-SELECT column_name, CAST(row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS INTEGER) AS code, value
+SELECT column_name, row_number() OVER (PARTITION BY column_name ORDER BY value) - 1 AS code, value,
+  count(*) OVER (PARTITION BY column_name) AS size
 FROM (SELECT DISTINCT 'c_name' AS column_name, c_name AS value FROM customer
   UNION ALL SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM customer)""")
 def _(spark, folder):
-    df = spark.read.parquet(f"{folder}/customer.parquet").select("c_name", "c_mktsegment")
-    schema = encoding.fit_feature_schema(df, "Churn")
-    rows = [(c, i, v) for c, values in schema.multi.items() for i, v in enumerate(values)]
-    return spark.createDataFrame(rows, "column_name string, code int, value string")
+    df = spark.read.parquet(f"{folder}/customer.parquet")
+    return encoding.fit_categories(df, ["c_name", "c_mktsegment"])
+
+
+@query("d6_sparse_one_hot", """
+SELECT c_custkey, column_name, CAST(code - 1 AS INTEGER) AS position, CAST(size - 1 AS INTEGER) AS length
+FROM (SELECT c_custkey, 'c_mktsegment' AS column_name, dense_rank() OVER (ORDER BY c_mktsegment) - 1 AS code,
+    (SELECT count(DISTINCT c_mktsegment) FROM customer) AS size FROM customer
+  UNION ALL SELECT c_custkey, 'c_nationkey', dense_rank() OVER (ORDER BY CAST(c_nationkey AS VARCHAR)) - 1,
+    (SELECT count(DISTINCT c_nationkey) FROM customer) FROM customer)
+WHERE code > 0""")
+def _(spark, folder):
+    df = spark.read.parquet(f"{folder}/customer.parquet").select("c_custkey", "c_mktsegment", "c_nationkey")
+    columns = ["c_mktsegment", "c_nationkey"]
+    rows = encoding.one_hot_vectors(df, encoding.fit_categories(df, columns), columns)
+    return rows.select("c_custkey", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), vector_to_array(f"{c}_vector").alias("v")) for c in columns
+    ])).alias("e")).select(
+        "c_custkey", "e.column_name", (F.array_position("e.v", 1.0) - 1).cast("int").alias("position"),
+        F.size("e.v").alias("length"),
+    ).filter("position >= 0")
 
 
 @query("d6_one_hot", with_snapshot(

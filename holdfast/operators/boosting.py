@@ -490,6 +490,10 @@ class BoostedTreesModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         about = json.loads(self.getOrDefault(self.trees))
         return about["base"], about["cuts"], [Tree(**t) for t in about["trees"]]
 
+    @property
+    def cuts(self) -> list[list[float]]:
+        return self._parts()[1]
+
     @property
     def getNumTrees(self) -> int:
         return len(self._parts()[2])

@@ -7,7 +7,8 @@ import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.operators.cleaning import ROW_KEY, bool_columns, text_columns
@@ -76,6 +77,62 @@ def distinct_values(
     return {c: sorted(v) for c, v in found.items()}
 
 
+def fit_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, code, size): codes of any number of categories, stored; nothing comes to the driver.
+
+    ``code`` is a value's place among the sorted distinct non-null values of its column, from 0, and ``size`` their
+    number. The values are sorted by ranges; a range's first place is the running sum of those before.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = df.select(F.explode(pairs).alias("p")).select("p.*").filter("value IS NOT NULL").distinct()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["column_name", "value"]
+    placed = stage_table(
+        stage_table(values, "categories").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        .withColumn("place", F.monotonically_increasing_id()), "places",
+    )
+    part = F.shiftright("place", 33)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = placed.groupBy(part.alias("part")).count().select(  # a row a range
+        "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    numbered = placed.join(F.broadcast(bases), part == F.col("part")).select(
+        *order, (F.col("base") + F.col("place").bitwiseAND((1 << 33) - 1)).alias("place"))
+    sizes = numbered.groupBy("column_name").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
+    return stage_table(
+        numbered.join(F.broadcast(sizes), "column_name").select(  # a row a column
+            *order, (F.col("place") - F.col("first")).alias("code"), "size"), "dictionary",
+    )
+
+
+def with_codes(df: DataFrame, categories: DataFrame, columns: Sequence[str], suffix: str = "_code") -> DataFrame:
+    """``df`` with the code of every one of ``columns``, by a join on the value; null where it is null or was not seen."""
+    for c in columns:
+        known = categories.filter(F.col("column_name") == c).select(
+            F.col("value").alias("__value"), F.col("code").alias(f"{c}{suffix}"))
+        df = df.join(known, F.col(c).cast("string") == F.col("__value"), "left").drop("__value")
+    return df
+
+
+def one_hot_vectors(df: DataFrame, categories: DataFrame, columns: Sequence[str], suffix: str = "_vector") -> DataFrame:
+    """``df`` with a sparse vector for every one of ``columns``: a 1 at the place of the category, the first one left out.
+
+    Vectors are as long as their column has categories, less one; null and unseen values, and the first
+    category, are all zeros. Whatever the number of categories, a row holds one number a column.
+    """
+    sizes = {r["column_name"]: r["size"] for r in categories.select("column_name", "size").distinct().collect()}
+    wide = [c for c in columns if sizes.get(c, 0) > 1]
+    coded = with_codes(df, categories, wide, "__code")
+    names = [f"{c}__index" for c in wide]
+    for c, name in zip(wide, names):  # the last index is the one that the encoder leaves out
+        code = F.coalesce(F.col(f"{c}__code"), F.lit(0))
+        coded = coded.withColumn(name, F.pmod(code - 1, F.lit(sizes[c])).cast("double")).drop(f"{c}__code")
+    if not wide:
+        return coded
+    ends = df.sparkSession.createDataFrame([tuple(float(sizes[c] - 1) for c in wide)], [*names])
+    encoder = OneHotEncoder(inputCols=names, outputCols=[f"{c}{suffix}" for c in wide], dropLast=True)
+    return encoder.fit(ends).transform(coded).drop(*names)
+
+
 def binary_mapping(values: Sequence[str]) -> dict[str, int] | None:
     """0/1 codes for two values in sorted order: No before Yes, Female before Male."""
     ordered = sorted(values)

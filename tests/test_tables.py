@@ -268,3 +268,24 @@ def test_nothing_warns_on_clean_medians(spark):
     with warnings.catch_warnings():
         warnings.simplefilter("error")
         cleaning.apply_medians(spark.createDataFrame([(1,)], "a int"), {"a": 2.0})
+
+
+def test_categories_of_any_number(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    rows = [(i, f"v{i % 700:03d}" if i % 9 else None, "only", "ab"[i % 2]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, many string, one string, two string")
+    columns = ["many", "one", "two"]
+    known = encoding.fit_categories(df, columns)
+    wanted = {(c, v): (i, len(vs)) for c, vs in ((c, sorted({r[k] for r in rows if r[k] is not None}))
+                                                 for k, c in enumerate(columns, 1)) for i, v in enumerate(vs)}
+    assert {(r["column_name"], r["value"]): (r["code"], r["size"]) for r in known.collect()} == wanted
+    batch = spark.createDataFrame([(1, "v001", "only", "b"), (2, None, None, "a"), (3, "new", "x", "zz"),
+                                   (4, "v699", "only", None)], df.schema)
+    coded = {r["id"]: tuple(r)[4:] for r in encoding.with_codes(batch, known, columns).collect()}
+    assert coded == {1: (1, 0, 1), 2: (None, None, 0), 3: (None, None, None), 4: (699, 0, None)}
+    vectors = encoding.one_hot_vectors(batch, known, columns).select(
+        "id", vector_to_array("many_vector").alias("m"), vector_to_array("two_vector").alias("t")).collect()
+    ones = {r["id"]: ([i for i, x in enumerate(r["m"]) if x], len(r["m"]), list(r["t"])) for r in vectors}
+    assert ones == {1: ([0], 699, [1.0]), 2: ([], 699, [0.0]), 3: ([], 699, [0.0]), 4: ([698], 699, [0.0])}
+    assert encoding.fit_categories(df.filter("id < 0"), columns).collect() == []
