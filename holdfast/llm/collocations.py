@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ SLICE_CHARS, CHUNK_WORDS, CACHED_WORDS = 1 << 20, 1 << 19, 200_000
 PART_BYTES = 1 << 30
 KEY_BITS = 40
 FILTER_BITS = 1 << 29
+HELD_RUNS, FEW_LANGUAGES = 400_000, 100_000
 #: What ends a piece of text, beside line breaks; words are parted by blanks and tabs.
 STOPS = ".,;:!?"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -366,14 +368,20 @@ def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int = LONGEST) ->
     """(lang, phrase, n_words, f): exact occurrences of the runs that pass ``wanted``; a null phrase counts all words.
 
     A run is counted if the runs without its last and without its first word passed as well. Within a chunk runs are told
-    apart by the numbers of their words, not by keys. Sums are made in each task before rows travel.
+    apart by the numbers of their words, not by keys. A task adds its chunks up before rows travel.
     """
     import pyarrow as pa
 
     shape = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n_words", pa.int32()), ("f", pa.int64())])
     shared = docs.sparkSession.sparkContext.broadcast(wanted.field)
 
+    def counted_runs(sums):
+        rows = ((lang, phrase and phrase.decode(), n, f) for (lang, n, phrase), f in sums.items() if f)
+        while part := list(itertools.islice(rows, 20_000)):
+            yield batch_of(part, shape)
+
     def count(batches):
+        sums: dict[tuple, int] = {}
         ids, filter_ = WordIds(), KeyFilter(8 * len(shared.value), shared.value)
         for stream in _chunks(batches, longest):
             words = ids(stream.tokens)
@@ -382,8 +390,7 @@ def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int = LONGEST) ->
             tokens = stream.tokens
             new = np.flatnonzero(words[stream.skip:]) + stream.skip
             for code, n in enumerate(np.bincount(langs[new], minlength=len(names)).tolist()):
-                if n:
-                    yield batch_of([(names[code], None, 0, n)], shape)
+                sums[names[code], 0, None] = sums.get((names[code], 0, None), 0) + n
             group = None
             for n, starts, keys in run_keys(words, hashes, _lang_hash(names)[langs], 0, longest):
                 if n > 1:
@@ -397,15 +404,14 @@ def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int = LONGEST) ->
                 group[passed] = kind
                 f = np.bincount(kind[counted], minlength=len(kinds))
                 out = np.flatnonzero(f)
-                where = passed[first[out]]
-                for low in range(0, len(out), 20_000):
-                    places = where[low: low + 20_000].tolist()
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([names[c] for c in langs[places].tolist()], pa.string()),
-                        pa.array([b" ".join(tokens[i: i + n]).decode() for i in places], pa.string()),
-                        pa.array(np.full(len(places), n, np.int32)),
-                        pa.array(f[out[low: low + 20_000]], pa.int64()),
-                    ], schema=shape)
+                places = passed[first[out]].tolist()
+                for code, i, times in zip(langs[places].tolist(), places, f[out].tolist()):
+                    run = names[code], n, b" ".join(tokens[i: i + n])
+                    sums[run] = sums.get(run, 0) + times
+                if len(sums) > HELD_RUNS:
+                    yield from counted_runs(sums)
+                    sums.clear()
+        yield from counted_runs(sums)
 
     rows = _texts(docs).mapInArrow(count, "lang string, phrase string, n_words int, f long")
     return rows.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
@@ -429,6 +435,8 @@ def score_phrases(counts: DataFrame, share: int = 100, kept: int = KEPT, scale:
     wide = "decimal(19,0)"
     runs_ = counts.filter("phrase is not null").select("lang", "phrase", "n_words", "f")
     totals = counts.filter("phrase is null").select("lang", F.col("f").alias("n"))
+    if totals.count() <= FEW_LANGUAGES:  # one short row each
+        totals = F.broadcast(totals)
     words = _words(F.col("phrase"))
     phrases = runs_.filter("n_words > 1").select("lang", "phrase", "n_words", F.col("f").alias("a"), words.alias("w"))
     cuts = phrases.select("lang", "phrase", "a", "w", "n_words", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k"))
