@@ -14,7 +14,7 @@ from holdfast.session import stage_table
 
 LONGEST, MIN_COUNT, KEPT = 5, 100, 2000
 SLICE_CHARS, CHUNK_WORDS, CACHED_WORDS = 1 << 20, 1 << 19, 200_000
-PART_BYTES = 1 << 30
+PART_BYTES = 1 << 28
 KEY_BITS = 40
 FILTER_BITS = 1 << 29
 HELD_RUNS, FEW_LANGUAGES = 400_000, 100_000
@@ -224,21 +224,23 @@ def _chunks(batches, longest: int):
         yield stream
 
 
-def frequent_keys(docs: DataFrame, threshold: int, longest: int = LONGEST) -> DataFrame:
+def partitions_for(docs: DataFrame) -> int:
+    """Partitions for the counts: as many as the session has, or more where the texts are large."""
+    size = _texts(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def frequent_keys(docs: DataFrame, threshold: int, longest: int, parts: int) -> DataFrame:
     """(key): the low ``KEY_BITS`` bits of the keys of all runs of 1 to ``longest`` words that occur ``threshold`` times or
     more in a language, and some others.
 
     Each task counts the runs of a chunk and sends them, by a hash of the key, to partitions; there
     they meet the mass of the whole partition first and are then merged into a summary whose capacity exceeds
-    mass / threshold. Memory is bounded by that capacity, and no run that is frequent is lost. The number of
-    partitions grows with the texts. Stored.
+    mass / threshold. Memory is bounded by that capacity, and no run that is frequent is lost. Stored.
     """
     import pyarrow as pa
 
     texts = _texts(docs)
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    spark = docs.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     shape = pa.schema([("part", pa.int32()), ("mass", pa.int64()), ("n", pa.int64()),
                        ("keys", pa.binary()), ("counts", pa.binary())])
 
@@ -364,21 +366,28 @@ def key_filter(keys: DataFrame, most_bits: int = FILTER_BITS) -> KeyFilter:
     return made
 
 
-def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int = LONGEST) -> DataFrame:
+def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int, parts: int) -> DataFrame:
     """(lang, phrase, n_words, f): exact occurrences of the runs that pass ``wanted``; a null phrase counts all words.
 
     A run is counted if the runs without its last and without its first word passed as well. Within a chunk runs are told
-    apart by the numbers of their words, not by keys. A task adds its chunks up before rows travel.
+    apart by the numbers of their words, not by keys. A task adds its chunks up and sends what it has to
+    partitions by a hash, a row each, where one task adds up what all have sent.
     """
     import pyarrow as pa
 
     shape = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n_words", pa.int32()), ("f", pa.int64())])
+    packed_shape = pa.schema([("part", pa.int32()), *((f.name, pa.list_(f.type)) for f in shape)])
     shared = docs.sparkSession.sparkContext.broadcast(wanted.field)
 
-    def counted_runs(sums):
-        rows = ((lang, phrase and phrase.decode(), n, f) for (lang, n, phrase), f in sums.items() if f)
-        while part := list(itertools.islice(rows, 20_000)):
-            yield batch_of(part, shape)
+    def sent(sums):
+        """Counts in one row a partition."""
+        held: dict[int, list] = {}
+        for (lang, n, phrase), f in sums.items():
+            if f:
+                part = zlib.crc32(phrase or b"", zlib.crc32(lang.encode())) % parts
+                held.setdefault(part, []).append((lang, phrase and phrase.decode(), n, f))
+        for part, found in held.items():
+            yield batch_of([(part, *map(list, zip(*found)))], packed_shape)
 
     def count(batches):
         sums: dict[tuple, int] = {}
@@ -409,12 +418,31 @@ def exact_counts(docs: DataFrame, wanted: KeyFilter, longest: int = LONGEST) ->
                     run = names[code], n, b" ".join(tokens[i: i + n])
                     sums[run] = sums.get(run, 0) + times
                 if len(sums) > HELD_RUNS:
-                    yield from counted_runs(sums)
+                    yield from sent(sums)
                     sums.clear()
-        yield from counted_runs(sums)
+        yield from sent(sums)
+
+    def added(batches):
+        part, sums = None, {}
+
+        def whole():
+            rows = ((*run, f) for run, f in sums.items())
+            while some := list(itertools.islice(rows, 20_000)):
+                yield batch_of(some, shape)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                if batch.column(0)[i].as_py() != part:
+                    yield from whole()
+                    part, sums = batch.column(0)[i].as_py(), {}
+                *runs_, counts = (batch.column(c)[i].as_py() for c in range(1, 5))
+                for run, f in zip(zip(*runs_), counts):
+                    sums[run] = sums.get(run, 0) + f
+        yield from whole()
 
-    rows = _texts(docs).mapInArrow(count, "lang string, phrase string, n_words int, f long")
-    return rows.groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
+    runs_of = "part int, lang array<string>, phrase array<string>, n_words array<int>, f array<long>"
+    rows = _texts(docs).mapInArrow(count, runs_of).repartitionById(parts, "part").sortWithinPartitions("part")
+    return small_batches(rows).mapInArrow(added, "lang string, phrase string, n_words int, f long")
 
 
 def _words(phrase: Column) -> Column:
@@ -474,7 +502,8 @@ def collocations(
     ``score_phrases`` for the rest. A null ``lang`` is ``und``, a null text is empty, repeated rows count
     again, other columns take no part; languages without a candidate and empty tables give no rows.
     """
-    wanted = key_filter(frequent_keys(docs, threshold, longest))
+    parts = partitions_for(docs)
+    wanted = key_filter(frequent_keys(docs, threshold, longest, parts))
     counts = stage_table(
-        exact_counts(docs, wanted, longest).filter((F.col("f") >= threshold) | F.col("phrase").isNull()), "phrases")
+        exact_counts(docs, wanted, longest, parts).filter((F.col("f") >= threshold) | F.col("phrase").isNull()), "phrases")
     return score_phrases(counts, share, kept)
