@@ -1,41 +1,123 @@
 """Exact interpolated percentiles of many columns of a table of any size.
 
-Spark's ``percentile`` keeps every distinct value of a column in one buffer. That is fine for flags
-and counts and fatal for a column of billions of distinct amounts. Such columns are narrowed first:
-a sketch brackets the wanted order statistic, one pass counts the rows below and inside the
-bracket, and the bracket shrinks until its distinct values fit in a buffer.
+A double has a 64-bit image that keeps its order. The image of a wanted order statistic is found from
+its leading bits down: each pass counts, for all columns at once, the values below every prefix that is
+still open, 10 or 12 bits further. Tasks add up their counts, so a pass moves at most a few thousand
+numbers per open prefix and task, whether the values are all different or all equal, and
+no value is kept in a buffer. A prefix under which only one value occurs ends its search at once.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DISTINCT_LIMIT = 20_000
 _ACCURACY = 10_000
+# (bits below the prefix after the pass, bits the pass looks at); together all 64.
+_PASSES = ((52, 12), (40, 12), (30, 10), (20, 10), (10, 10), (0, 10))
+_COUNTS = "column_no int, parent long, child long, n long, low long, high long"
 
 
-@dataclass
-class _Search:
-    column: str
-    rank: int  # 0-based position among the non-null values
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    inside: int = 0
-    distinct: int = 0
-    value: float | None = None
+def order_images(values: np.ndarray) -> np.ndarray:
+    """Signed 64-bit integers in the order of the doubles; NaN above all, both zeros alike."""
+    bits = (np.where(np.isnan(values), np.nan, values) + 0.0).view(np.int64)
+    return bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))
 
-    def bracketed(self) -> Column:
-        c = F.col(self.column).cast("double")
-        keep = c.isNotNull()
-        if self.low is not None:
-            keep = keep & (c >= F.lit(self.low)) & (c <= F.lit(self.high))
-        return F.when(keep, c)
+
+def image_value(image: int) -> float:
+    bits = np.int64(image)
+    return float((bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64))
+
+
+def _prefix_counts(open_prefixes: dict[int, list[int | None]], shift: int, bits: int, above: int):
+    """A task's counts of the values below the open prefixes, ``bits`` bits further down.
+
+    ``open_prefixes`` lists them per column as values shifted right by ``above``; None stands for all values.
+    """
+    size = 1 << bits
+
+    def counted(batches):
+        counts, lows, highs = {}, {}, {}
+        for batch in batches:
+            for place, (column, parents) in enumerate(open_prefixes.items()):
+                values = batch.column(place).drop_null().to_numpy(zero_copy_only=False)
+                images, times = np.unique(order_images(values), return_counts=True)
+                for parent in parents:
+                    if parent is None:
+                        found, n, first = images, times, -(size >> 1)
+                    else:
+                        a = np.searchsorted(images, parent << above)
+                        b = np.searchsorted(images, (parent << above) + ((1 << above) - 1), side="right")
+                        found, n, first = images[a:b], times[a:b], parent << bits
+                    if not len(found):
+                        continue
+                    child = (found >> shift) - first
+                    starts = np.flatnonzero(np.r_[True, child[1:] != child[:-1]])
+                    ends = np.r_[starts[1:], len(child)] - 1
+                    key = column, parent
+                    if key not in counts:
+                        counts[key] = np.zeros(size, np.int64)
+                        lows[key] = np.full(size, np.iinfo(np.int64).max)
+                        highs[key] = np.full(size, np.iinfo(np.int64).min)
+                    at = child[starts]
+                    counts[key][at] += np.add.reduceat(n, starts)
+                    lows[key][at] = np.minimum(lows[key][at], found[starts])
+                    highs[key][at] = np.maximum(highs[key][at], found[ends])
+        for (column, parent), n in counts.items():
+            at = np.flatnonzero(n)
+            first = -(size >> 1) if parent is None else parent << bits
+            yield pa.RecordBatch.from_pydict({
+                "column_no": np.full(len(at), column, np.int32),
+                "parent": np.full(len(at), parent or 0, np.int64),
+                "child": at + first, "n": n[at],
+                "low": lows[column, parent][at], "high": highs[column, parent][at],
+            })
+
+    return counted
+
+
+def order_statistics(df: DataFrame, ranks: dict[str, Sequence[int]]) -> dict[tuple[str, int], float]:
+    """The values at 0-based ranks among the non-null values of each column, in ascending order."""
+    columns = [c for c, wanted in ranks.items() if wanted]
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    found: dict[tuple[str, int], float] = {}
+    # (column, rank) -> (prefix, rank among the values below it)
+    pending = {(i, r): (None, r) for i, c in enumerate(columns) for r in set(ranks[c])}
+    above = 64
+    for shift, bits in _PASSES:
+        if not pending:
+            break
+        parents: dict[int, list[int | None]] = {}
+        for i, p in sorted({(i, p) for (i, _), (p, _) in pending.items()}, key=lambda x: (x[0], x[1] or 0)):
+            parents.setdefault(i, []).append(p)
+        seen = values.select(*[f"c{i}" for i in parents]).mapInArrow(
+            _prefix_counts(parents, shift, bits, above), _COUNTS
+        ).groupBy("column_no", "parent", "child").agg(
+            F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        upto = Window.partitionBy("column_no", "parent").orderBy("child")
+        running = seen.withColumn("upto", F.sum("n").over(upto))
+        # As many rows as there are ranks asked for.
+        asked = df.sparkSession.createDataFrame(
+            [(i, p or 0, r, left) for (i, r), (p, left) in pending.items()],
+            "column_no int, parent long, rank long, left long")
+        hits = running.join(F.broadcast(asked), ["column_no", "parent"]).filter(
+            "left < upto AND left >= upto - n")
+        following = {}
+        for row in hits.collect():
+            key = row["column_no"], row["rank"]
+            if row["low"] == row["high"]:
+                found[columns[key[0]], key[1]] = image_value(row["low"])
+            else:
+                following[key] = (row["child"], row["left"] - (row["upto"] - row["n"]))
+        if len(following) + len(found) < sum(len(set(ranks[c])) for c in columns):
+            raise ValueError("a rank exceeds the number of values of its column")
+        pending, above = following, shift
+    return found
 
 
 def exact_percentiles(
@@ -43,12 +125,12 @@ def exact_percentiles(
     columns: Sequence[str],
     fractions: Sequence[float],
     *,
-    distinct_limit: int = DISTINCT_LIMIT,
     approximate: bool = False,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated percentiles of each column's non-null values; None for an all-null one.
 
-    ``approximate=True`` settles for the sketch: one pass, not exact.
+    NaN counts as the largest value. The table is read once for the counts and up to six times for the
+    values: give it as a stored one. ``approximate=True`` settles for a sketch: one pass, not exact.
     """
     columns = list(columns)
     fractions = list(fractions)
@@ -56,105 +138,24 @@ def exact_percentiles(
         return {}
     if approximate:
         row = df.agg(*[
-            F.percentile_approx(F.col(c).cast("double"), fractions, _ACCURACY).alias(f"v{i}")
+            F.percentile_approx(F.col(f"`{c}`").cast("double"), fractions, _ACCURACY).alias(f"v{i}")
             for i, c in enumerate(columns)
         ]).first()
         return {c: list(row[f"v{i}"] or [None] * len(fractions)) for i, c in enumerate(columns)}
 
-    sizes = df.agg(
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(columns)],
-        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
-    ).first()
-    result: dict[str, list[float | None]] = {}
-    narrow, wide = [], []
-    for i, c in enumerate(columns):
-        if sizes[f"n{i}"] == 0:
-            result[c] = [None] * len(fractions)
-        elif sizes[f"d{i}"] <= distinct_limit:
-            narrow.append(c)
-        else:
-            wide.append((c, sizes[f"n{i}"], sizes[f"d{i}"]))
-    if narrow:
-        row = df.agg(*[
-            F.percentile(F.col(c).cast("double"), fractions).alias(f"v{i}")
-            for i, c in enumerate(narrow)
-        ]).first()
-        result.update({c: list(row[f"v{i}"]) for i, c in enumerate(narrow)})
-    if wide:
-        result.update(_search(df, wide, fractions, distinct_limit))
-    return {c: result[c] for c in columns}
-
-
-def _search(df, wide, fractions, distinct_limit) -> dict[str, list[float | None]]:
-    searches: dict[tuple[str, int], _Search] = {}
-    for c, n, d in wide:
-        for f in fractions:
-            position = f * (n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                searches[c, rank] = _Search(c, rank, inside=n, distinct=d)
-    while any(s.value is None for s in searches.values()):
-        open_ones = [s for s in searches.values() if s.value is None]
-        _narrow(df, [s for s in open_ones if s.distinct > distinct_limit])
-        _finish(df, [s for s in open_ones if s.distinct <= distinct_limit])
-    out = {}
-    for c, n, _ in wide:
-        values = []
-        for f in fractions:
-            position = f * (n - 1)
-            low, high = math.floor(position), math.ceil(position)
-            a, b = searches[c, low].value, searches[c, high].value
-            values.append(a if low == high else (high - position) * a + (position - low) * b)
-        out[c] = values
-    return out
-
-
-def _narrow(df: DataFrame, searches: list[_Search]) -> None:
-    if not searches:
-        return
-    margin = 2.0 / _ACCURACY
-    brackets = df.agg(*[
-        F.percentile_approx(
-            s.bracketed(),
-            [max(0.0, (s.rank - s.below) / s.inside - margin),
-             min(1.0, (s.rank - s.below + 1) / s.inside + margin)],
-            _ACCURACY,
-        ).alias(f"b{i}")
-        for i, s in enumerate(searches)
-    ]).first()
-    aggregates = []
-    for i, s in enumerate(searches):
-        c = F.col(s.column).cast("double")
-        low, high = brackets[f"b{i}"]
-        inside = (c >= F.lit(low)) & (c <= F.lit(high))
-        aggregates += [
-            F.count(F.when(c < F.lit(low), 1)).alias(f"l{i}"),
-            F.count(F.when(inside, 1)).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(inside, c)).alias(f"d{i}"),
-        ]
-    counts = df.agg(*aggregates).first()
-    for i, s in enumerate(searches):
-        below, inside, distinct = counts[f"l{i}"], counts[f"n{i}"], counts[f"d{i}"]
-        hit = below <= s.rank < below + inside
-        if not hit or inside >= s.inside:
-            # The sketch gave no progress: let the buffer take the bracket as it is.
-            s.distinct = 0
-            continue
-        s.low, s.high = brackets[f"b{i}"]
-        s.below, s.inside, s.distinct = below, inside, distinct
-
-
-def _finish(df: DataFrame, searches: list[_Search]) -> None:
-    if not searches:
-        return
-    row = df.agg(*[
-        F.expr("percentile_disc({p!r}D) WITHIN GROUP (ORDER BY `{c}`) FILTER (WHERE {w})".format(
-            p=(s.rank - s.below + 0.5) / s.inside,
-            c=f"{s.column}",
-            w="`{c}` IS NOT NULL".format(c=s.column) if s.low is None else
-              "CAST(`{c}` AS DOUBLE) BETWEEN {lo!r}D AND {hi!r}D".format(
-                  c=s.column, lo=s.low, hi=s.high),
-        )).alias(f"v{i}")
-        for i, s in enumerate(searches)
+    sizes = df.agg(*[
+        F.count(F.col(f"`{c}`").cast("double")).alias(f"n{i}") for i, c in enumerate(columns)
     ]).first()
-    for i, s in enumerate(searches):
-        s.value = float(row[f"v{i}"])
+    places = {c: [f * (n - 1) for f in fractions] if n else [] for c, n in zip(columns, sizes)}
+    found = order_statistics(df, {
+        c: [edge for p in wanted for edge in (math.floor(p), math.ceil(p))] for c, wanted in places.items()
+    })
+
+    def between(column: str, place: float) -> float:
+        low, high = math.floor(place), math.ceil(place)
+        a, b = found[column, low], found[column, high]
+        return a if a == b or low == high else (high - place) * a + (place - low) * b
+
+    return {
+        c: [between(c, p) for p in places[c]] if places[c] else [None] * len(fractions) for c in columns
+    }

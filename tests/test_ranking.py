@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.arithmetic import edges_below, ratio_or_zero, round_half_even
 from holdfast.functions.keyed import keyed_hash, unit_interval
-from holdfast.operators.percentiles import exact_percentiles
 from holdfast.operators import splitting
+from holdfast.operators.percentiles import exact_percentiles, order_statistics
 from holdfast.operators.ranking import hash_cuts, with_global_rank
 
 
@@ -104,8 +105,7 @@ def test_rounding_and_ratios(spark):
     assert df.select(ratio_or_zero(F.lit(3), F.lit(0))).first()[0] == 0.0
 
 
-@pytest.mark.parametrize("limit", [3, 20_000])
-def test_exact_percentiles(spark, limit):
+def test_exact_percentiles(spark):
     rng = np.random.default_rng(3)
     wide = rng.lognormal(0, 3, 4001)
     rows = [
@@ -113,19 +113,38 @@ def test_exact_percentiles(spark, limit):
         for i, w in enumerate(wide)
     ]
     df = spark.createDataFrame(rows, "a double, b int, c double, d double").repartition(7)
-    got = exact_percentiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.75], distinct_limit=limit)
+    got = exact_percentiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.75])
     columns = list(zip(*rows))
     for name, values in zip("abd", (columns[0], columns[1], columns[3])):
         known = [v for v in values if v is not None]
         assert got[name] == pytest.approx(list(np.quantile(known, [0.25, 0.5, 0.75])), rel=1e-12)
     assert got["c"] == [None, None, None]
-
-
-def test_search_goes_below_the_sketch(spark):
-    values = np.random.default_rng(5).normal(size=60_001)
-    df = spark.createDataFrame([(float(v),) for v in values], "a double")
-    got = exact_percentiles(df, ["a"], [0.5, 0.9], distinct_limit=50)["a"]
-    assert got == pytest.approx(list(np.quantile(values, [0.5, 0.9])), rel=1e-12)
+    assert exact_percentiles(df.filter("false"), ["a"], [0.5]) == {"a": [None]}
+
+
+def test_percentiles_of_equal_and_of_distinct_values(spark):
+    n = 1_000_000
+    df = spark.range(n, numPartitions=8).select(
+        F.lit(7.25).alias("same"), (F.col("id") * 7919 % n + 0.1).alias("each"),
+        F.when(F.col("id") % 3 == 0, F.lit(-1e300)).otherwise(F.col("id") / n).alias("mixed"))
+    got = exact_percentiles(df, ["same", "each", "mixed"], [0.0, 0.1, 0.5, 1.0])
+    ids = np.arange(n)
+    expected = {"same": np.full(n, 7.25), "each": ids * 7919 % n + 0.1,
+                "mixed": np.where(ids % 3 == 0, -1e300, ids / n)}
+    for name, values in expected.items():
+        assert got[name] == pytest.approx(list(np.quantile(values, [0.0, 0.1, 0.5, 1.0])), rel=1e-12)
+
+
+def test_order_statistics_of_any_doubles(spark):
+    values = [0.0, -0.0, 5e-324, -5e-324, 1e-310, 1.7e308, -1.7e308, math.inf, -math.inf, math.nan, math.nan,
+              1.0, 1.0 + 2**-52, 1.0 - 2**-53, -1.0, -1.0 - 2**-52, 3.0, 3.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "`odd name` double").repartition(3)
+    got = order_statistics(df, {"odd name": range(len(values))})
+    expected = sorted((v for v in values if v == v)) + [math.nan, math.nan]
+    for i, v in enumerate(expected):
+        assert got["odd name", i] == v or (math.isnan(v) and math.isnan(got["odd name", i]))
+    with pytest.raises(ValueError, match="rank"):
+        order_statistics(df, {"odd name": [len(values)]})
 
 
 @pytest.mark.parametrize("key", ["repeated", "missing", "copies"])
