@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from holdfast.catalog.inputs import ALIASES, NUMBERS, REGIONS, rounded, snapshot, stored_snapshot, with_snapshot
 from holdfast.catalog.registry import query
 from holdfast.operators import cleaning, encoding, profiling
+from holdfast.sources.snapshot import table
 
 _COLUMNS = (
     ("CustomerID", "bigint"), ("Churn", "int"), ("MarketSegment", "string"), ("Region", "string"),
@@ -54,6 +55,22 @@ def _(spark, folder):
     return profiling.distinct_counts(snapshot(spark, folder))
 
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+@query("k4_many_columns", " UNION ALL ".join(
+    f"SELECT '{c}_{i}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM lineitem"
+    for i in range(20) for c in _LINE_COLUMNS))
+def _(spark, folder):
+    """A table of 220 columns."""
+    lines = table(spark, folder, "lineitem")
+    return profiling.distinct_counts(
+        lines.select(*[F.col(c).alias(f"{c}_{i}") for i in range(20) for c in _LINE_COLUMNS]))
+
+
 @query("k5_columns_by_kind", with_snapshot(" UNION ALL ".join(
     f"SELECT '{c}' AS column_name, '{'other' if t == 'string' else 'numeric'}' AS kind, "
     f"count({c}) AS non_null FROM snap" for c, t in _COLUMNS)))

@@ -13,7 +13,9 @@ from holdfast.catalog.registry import query
 from holdfast.operators import cleaning, encoding, quality
 from holdfast.plans.prepare import prepare_table
 from holdfast.session import stage_table, staging_path
-from holdfast.sources.customers import NA_TOKENS, load_customers
+from holdfast.sources.customers import (
+    NA_TOKENS, load_customers, load_with_rescue, rescue_report,
+)
 from holdfast.sources.fingerprints import table_fingerprint
 from holdfast.sources.sinks import write_cleaned, write_ranked, write_table
 from holdfast.sources.snapshot import table
@@ -35,6 +37,46 @@ def _(spark, folder):
     return load_customers(spark, f"{folder}/customer.parquet")
 
 
+_CSV_SQL = """
+WITH raw AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_acctbal,
+    CASE c_custkey % 10 WHEN 3 THEN c_custkey || ' EUR' WHEN 5 THEN 'n/a' END AS odd, c_mktsegment
+  FROM customer)"""
+
+
+def _customer_csv(spark, folder):
+    """The customers written as CSV with some balances that are no numbers, read back with what does not fit."""
+    path = f"{staging_path(spark, 'customers')}.csv"
+    balance = (
+        F.when(F.col("c_custkey") % 10 == 3, F.concat(F.col("c_custkey").cast("string"), F.lit(" EUR")))
+        .when(F.col("c_custkey") % 10 == 5, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    )
+    table(spark, folder, "customer").withColumn("c_acctbal", balance).write.csv(path, header=True, escape='"')
+    return load_with_rescue(
+        spark, path, "c_custkey bigint, c_name int, c_acctbal double, c_nationkey int, c_phone string")
+
+
+@query("a1_csv_types", _CSV_SQL + """
+SELECT CAST(c_custkey AS BIGINT) AS c_custkey, TRY_CAST(c_name AS INTEGER) AS c_name,
+  CASE WHEN odd IS NULL THEN c_acctbal END AS c_acctbal, CAST(c_nationkey AS INTEGER) AS c_nationkey,
+  CAST(NULL AS VARCHAR) AS c_phone, CASE WHEN odd <> 'n/a' THEN odd END AS raw_balance, c_name AS raw_name,
+  c_mktsegment AS raw_segment
+FROM raw""")
+def _(spark, folder):
+    df = _customer_csv(spark, folder)
+    raw = {"raw_balance": "c_acctbal", "raw_name": "c_name", "raw_segment": "c_mktsegment"}
+    return df.withColumns({name: F.col("rescued")[c] for name, c in raw.items()}).drop("rescued")
+
+
+@query("a1_csv_failures", _CSV_SQL + """
+SELECT column_name, count(raw) AS n_failed, min(raw) AS first_raw, max(raw) AS last_raw FROM (
+  SELECT 'c_acctbal' AS column_name, nullif(odd, 'n/a') AS raw FROM raw UNION ALL
+  SELECT 'c_name', c_name FROM raw UNION ALL SELECT 'c_mktsegment', c_mktsegment FROM raw)
+WHERE raw IS NOT NULL GROUP BY column_name""")
+def _(spark, folder):
+    return rescue_report(_customer_csv(spark, folder))
+
+
 _CLEAN_SQL = """
 cleaned AS (
   SELECT Churn, CASE WHEN MarketSegment = 'FURNITURE' THEN 'HOUSEHOLD' ELSE MarketSegment END

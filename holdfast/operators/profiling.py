@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast.operators.cleaning import numeric_columns, text_columns
 from holdfast.operators.percentiles import exact_percentiles
@@ -55,16 +56,92 @@ def duplicate_counts(df: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def distinct_counts(df: DataFrame, *, approximate: bool = False) -> DataFrame:
-    """(column_name, n_distinct) of the non-null values."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
+def _distinct_texts(limit: int):
+    """A task's distinct (column, text) pairs: a set per column, written out and begun anew at ``limit`` texts."""
+    def found(batches):
+        seen: dict[int, set] = {}
+        held = 0
+        for batch in batches:
+            for i in range(batch.num_columns):
+                have = seen.setdefault(i, set())
+                before = len(have)
+                have.update(batch.column(i).drop_null().unique().to_pylist())
+                held += len(have) - before
+            if held >= limit:
+                yield from _pairs(seen)
+                seen, held = {}, 0
+        yield from _pairs(seen)
+
+    return found
+
+
+def _pairs(seen: dict[int, set], rows: int = 20_000):
+    for i, texts in seen.items():
+        texts = list(texts)
+        for start in range(0, len(texts), rows):
+            part = texts[start:start + rows]
+            yield pa.RecordBatch.from_pydict({
+                "column_no": pa.array([i] * len(part), pa.int32()), "value": pa.array(part, pa.string())})
+
+
+def _identity_text(field: T.StructField) -> Column:
+    """A text that is equal exactly where the values are equal."""
+    c, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return (c + F.lit(0).cast(kind)).cast("string")  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("string")  # an hour that the clock repeats is two
+    if isinstance(kind, T.BinaryType):
+        return F.hex(c)
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.when(c.isNotNull(), F.to_json(F.struct(c.alias("v"))))
+    return c.cast("string")
+
+
+def distinct_counts(df: DataFrame, *, approximate: bool = False, held: int = 1_000_000) -> DataFrame:
+    """(column_name, n_distinct) of the non-null values, in one scan whatever the number of columns.
+
+    Tasks keep a set of values per column, at most about ``held`` at a time, so that a row is not repeated
+    for every column and only values that a task has not just seen travel, by (column, value).
+    ``approximate=True`` takes sketches instead.
+    """
+    if approximate:
+        return sketch_estimates(distinct_sketches(df))
+    texts = df.select(*[_identity_text(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
+    pairs = texts.mapInArrow(_distinct_texts(held), "column_no int, value string")
+    counts = pairs.distinct().groupBy("column_no").agg(F.count(F.lit(1)).alias("n_distinct"))
+    return _every_column(df, counts)
+
+
+def _every_column(df: DataFrame, counts: DataFrame) -> DataFrame:
+    """A row for every column of ``df``, also for those without a value."""
+    columns = df.sparkSession.createDataFrame(list(enumerate(df.columns)), "column_no int, column_name string")
+    return columns.join(F.broadcast(counts), "column_no", "left").select(  # a row a column
+        "column_name", F.coalesce("n_distinct", F.lit(0).cast("long")).alias("n_distinct"))
+
+
+def distinct_sketches(df: DataFrame, log_buckets: int = 14) -> DataFrame:
+    """(column_name, sketch): one pass, some KB a column. Store them, and tables that come later need no
+    second look at the earlier ones (``merge_sketches``)."""
+    row = df.agg(*[
+        F.hll_sketch_agg(_identity_text(f), F.lit(log_buckets)).alias(f"n{i}")
+        for i, f in enumerate(df.schema.fields)
+    ])
     return _long(row, [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_distinct"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("sketch"))
         for i, c in enumerate(df.columns)
     ])
 
 
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """The sketches of all tables together, from the rows of ``distinct_sketches`` of each."""
+    return sketches.groupBy("column_name").agg(F.hll_union_agg("sketch").alias("sketch"))
+
+
+def sketch_estimates(sketches: DataFrame) -> DataFrame:
+    return sketches.select("column_name", F.hll_sketch_estimate("sketch").alias("n_distinct"))
+
+
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_name, value, n) of every text column in one job; common values are combined on the
     map side."""

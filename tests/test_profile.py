@@ -86,3 +86,25 @@ def test_correlations_of_shifted_and_partly_constant_columns(spark):
 def test_correlations_of_many_columns(spark):
     wide = spark.range(200).select(*[F.rand(i).alias(f"x{i}") for i in range(200)])
     assert profiling.correlation_matrix(wide).count() == 40_000
+
+
+def test_distinct_counts_of_odd_values(spark):
+    df = spark.sql("""
+        SELECT IF(id % 2 = 0, 0.0D, -0.0D) AS zero, IF(id % 3 = 0, double('nan'), 1.0D) AS nan, id % 7 AS `a b`,
+          CAST(NULL AS INT) AS none, array(id % 4, 1) AS list, CAST(CAST(id % 5 AS STRING) AS BINARY) AS bytes,
+          timestamp_micros(id % 11) AS time, id % 2 = 0 AS flag, CAST(id AS STRING) AS each, '' AS empty
+        FROM range(0, 5000, 1, 6)""")
+    expected = {"zero": 1, "nan": 2, "a b": 7, "none": 0, "list": 4, "bytes": 5, "time": 11, "flag": 2,
+                "each": 5000, "empty": 1}
+    for held in (10, 1_000_000):
+        got = profiling.distinct_counts(df, held=held).collect()
+        assert {r["column_name"]: r["n_distinct"] for r in got} == expected
+    assert all(r["n_distinct"] == 0 for r in profiling.distinct_counts(df.filter("false")).collect())
+
+
+def test_sketches_merge(spark):
+    parts = [spark.range(a, a + 30_000).select("id", (F.col("id") % 9).alias("k")) for a in (0, 20_000)]
+    both = profiling.distinct_sketches(parts[0]).union(profiling.distinct_sketches(parts[1]))
+    got = {r["column_name"]: r["n_distinct"] for r in
+           profiling.sketch_estimates(profiling.merge_sketches(both)).collect()}
+    assert got["k"] == 9 and got["id"] == pytest.approx(50_000, rel=0.03)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import warnings
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from holdfast.operators import cleaning, encoding, quality
 from holdfast.plans.prepare import fit_splits, prepare_files, prepare_model_splits, prepare_table
 from holdfast.session import staging_path
-from holdfast.sources.customers import load_customers
+from holdfast.sources.customers import load_customers, load_with_rescue, rescue_report, rescued_values
 from holdfast.sources.fingerprints import table_fingerprint
 from holdfast.sources.sinks import write_ranked, write_table
 
@@ -289,3 +290,36 @@ def test_categories_of_any_number(spark):
     ones = {r["id"]: ([i for i, x in enumerate(r["m"]) if x], len(r["m"]), list(r["t"])) for r in vectors}
     assert ones == {1: ([0], 699, [1.0]), 2: ([], 699, [0.0]), 3: ([], 699, [0.0]), 4: ([698], 699, [0.0])}
     assert encoding.fit_categories(df.filter("id < 0"), columns).collect() == []
+
+
+def test_nothing_is_lost_of_a_csv(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text(
+        'id,Tenure,extra column,When\n1,3.5,a,2020-01-02\nx,seven,,2020-02-31\n3,NA\n4,1,b,2020-01-01,more\n'
+        '5,"say ""9""",,\n99999999999,inf,,2021-12-31\n')
+    schema = "id int, Tenure double, `When` date, Absent string"
+    df = load_with_rescue(spark, str(path), schema)
+    rows = df.collect()
+    assert df.columns == ["id", "Tenure", "When", "Absent", "rescued"]
+    assert [r["id"] for r in rows] == [1, None, 3, 4, 5, None]
+    assert rows[0]["rescued"] == {"extra column": "a"} and rows[0]["Absent"] is None
+    assert rows[1]["rescued"] == {"id": "x", "Tenure": "seven", "When": "2020-02-31"}
+    assert rows[2]["rescued"] == {"": "3,NA"}
+    assert rows[3]["rescued"] == {"": "4,1,b,2020-01-01,more", "extra column": "b"}
+    assert rows[4]["rescued"] == {"Tenure": 'say "9"'}
+    assert rows[5]["rescued"] == {"id": "99999999999"}
+    assert {(r["column_name"], r["n_failed"]) for r in rescue_report(df).collect()} == {
+        ("", 2), ("id", 2), ("Tenure", 2), ("When", 1), ("extra column", 2)}
+    assert {tuple(r) for r in rescued_values(df, ["Tenure"]).filter("column_name = 'id'").collect()} == {
+        (None, "id", "x"), (math.inf, "id", "99999999999")}
+
+
+def test_rescue_of_clashing_names_and_empty_tables(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("rescued,__record,c1\nq,w,e\n")
+    row = load_with_rescue(spark, str(tmp_path / "a.csv"), "c1 int, rescued string", rescued="odd").first()
+    assert (row["c1"], row["rescued"], row["odd"]) == (None, "q", {"c1": "e", "__record": "w"})
+    (tmp_path / "b.csv").write_text("id,x\n")
+    df = load_with_rescue(spark, str(tmp_path / "b.csv"), "id int")
+    assert df.collect() == [] and rescue_report(df).collect() == []
+    with pytest.raises(FileNotFoundError):
+        load_with_rescue(spark, "/nowhere/at/all.csv", "id int")
