@@ -9,10 +9,11 @@ from holdfast.catalog.inputs import (
     with_documents, with_scores, with_snapshot,
 )
 from holdfast.catalog.registry import query
-from holdfast.operators import cleaning, metrics, splitting
+from holdfast.operators import class_tables, cleaning, metrics, splitting
 from holdfast.plans.prepare import prepare_model_splits
 from holdfast.plans.results import data_provenance, results_table, split_profile
 from holdfast.session import stage_table
+from holdfast.sources.snapshot import table
 
 # --- splits --------------------------------------------------------------------------------------
 
@@ -118,6 +119,93 @@ def _(spark, folder):
     return rounded(splitting.with_class_weight(df, "Churn", weights), "weight")
 
 
+_EXACT_QUOTA = """
+shares AS (SELECT cls, n, CAST(d AS HUGEINT) * n // t AS q, CAST(d AS HUGEINT) * n % t AS rest, d FROM (
+  SELECT cls, n, t, CAST(ceil(CAST(0.2 AS DOUBLE) * CAST(t AS DOUBLE)) AS BIGINT) AS d
+  FROM (SELECT *, sum(n) OVER () AS t FROM counts))),
+quota AS (SELECT cls, n, q + CASE WHEN row_number() OVER (ORDER BY rest DESC, cls) <= d - sum(q) OVER ()
+  THEN 1 ELSE 0 END AS q FROM shares)"""
+
+
+def _odd_keys_sql(key: str) -> str:
+    """Held-out rows per class, and how many rows come back with every key."""
+    return f"""
+WITH counts AS (SELECT l_returnflag AS cls, count(*) AS n FROM lineitem GROUP BY ALL), {_EXACT_QUOTA}
+SELECT 'class' AS kind, cls AS name, CAST(q AS BIGINT) AS n_test, n AS n_rows FROM quota UNION ALL
+SELECT 'key', CAST({key} AS VARCHAR), NULL, count(*) FROM lineitem GROUP BY ALL"""
+
+
+def _odd_keys(spark, folder, key):
+    """A split of every order line by a key that repeats or is missing; the quotas are exact all the same."""
+    lines = table(spark, folder, "lineitem").withColumn("key", key)
+    split = stage_table(
+        splitting.holdout_split(lines, "key", "l_returnflag", 0.2, 42, literal_classes=0), "split")
+    n_test = F.count(F.when(F.col("split") == "test", 1))
+    by_class = split.groupBy(F.lit("class").alias("kind"), F.col("l_returnflag").alias("name")).agg(
+        n_test.alias("n_test"), F.count(F.lit(1)).alias("n_rows"))
+    by_key = split.groupBy(F.lit("key").alias("kind"), F.col("key").cast("string").alias("name")).agg(
+        F.lit(None).cast("long").alias("n_test"), F.count(F.lit(1)).alias("n_rows"))
+    return by_class.union(by_key)
+
+
+@query("e1_repeated_keys", _odd_keys_sql("l_suppkey"))
+def _(spark, folder):
+    return _odd_keys(spark, folder, F.col("l_suppkey"))
+
+
+@query("e1_missing_keys", _odd_keys_sql("CASE WHEN l_linenumber <= 2 THEN l_suppkey END"))
+def _(spark, folder):
+    return _odd_keys(spark, folder, F.when(F.col("l_linenumber") <= 2, F.col("l_suppkey")))
+
+
+_MANY_CLASSES = """
+rows AS (SELECT o_orderkey, o_custkey || ' ' || o_orderpriority AS cls FROM orders),
+counts AS (SELECT cls, count(*) AS n FROM rows GROUP BY cls)"""
+
+
+def _placed(*salt: str) -> str:
+    return f"""
+placed AS (SELECT *, row_number() OVER (PARTITION BY cls ORDER BY md5(concat_ws(':',
+  CAST(o_orderkey AS VARCHAR), {", ".join(f"'{s}'" for s in salt)})), o_orderkey) AS r FROM rows)"""
+
+
+def _many_classes(spark, folder):
+    orders = table(spark, folder, "orders")
+    return stage_table(orders.select("o_orderkey", F.concat_ws(
+        " ", F.col("o_custkey").cast("string"), "o_orderpriority").alias("cls")), "classes")
+
+
+@query("e1_many_classes", f"""
+WITH {_MANY_CLASSES}, {_placed("42")}, {_EXACT_QUOTA}
+SELECT o_orderkey, placed.cls, CASE WHEN r <= q THEN 'test' ELSE 'train' END AS split
+FROM placed JOIN quota USING (cls)""")
+def _(spark, folder):
+    """A class for every customer and priority: cuts by a join."""
+    return splitting.holdout_split(
+        _many_classes(spark, folder), "o_orderkey", "cls", 0.2, 42, literal_classes=0)
+
+
+@query("e3_many_classes", f"""
+WITH {_MANY_CLASSES}, {_placed("fold", "42")},
+starts AS (SELECT cls, coalesce(sum(n) OVER (ORDER BY cls ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+  AS s FROM counts),
+sizes AS (SELECT cls, (s + r - 1) % 5 AS fold, count(*) AS m FROM placed JOIN starts USING (cls) GROUP BY ALL),
+ends AS (SELECT cls, fold, sum(m) OVER (PARTITION BY cls ORDER BY fold) AS upto FROM sizes)
+SELECT o_orderkey, placed.cls, CAST(min(fold) AS INTEGER) AS fold
+FROM placed JOIN ends ON placed.cls = ends.cls AND r <= ends.upto GROUP BY ALL""")
+def _(spark, folder):
+    return splitting.stratified_folds(
+        _many_classes(spark, folder), "o_orderkey", "cls", 5, 42, literal_classes=0)
+
+
+@query("e6_many_classes", f"""
+WITH {_MANY_CLASSES}
+SELECT o_orderkey, rows.cls, round((SELECT count(*) FROM rows)::DOUBLE
+  / ((SELECT count(*) FROM counts)::DOUBLE * n), 6) AS weight FROM rows JOIN counts USING (cls)""")
+def _(spark, folder):
+    return rounded(class_tables.with_balanced_weight(_many_classes(spark, folder), "cls"), "weight")
+
+
 def _prepared(spark, folder):
     cleaned = stage_table(
         cleaning.clean(stored_snapshot(spark, folder), "Churn", aliases=ALIASES), "cleaned"

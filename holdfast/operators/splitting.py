@@ -4,6 +4,8 @@ A split is a comparison of the row's keyed hash with one cut per class, so assig
 billion rows to train, validation and test is a projection. The cuts sit at exact ranks, which
 makes the class counts exact too, also where keys repeat or are missing: ties are broken by the content
 of the row, and rows equal in every column are numbered where a cut falls among them.
+
+Cuts are literals for up to ``literal_classes`` classes; beyond that they are a table joined on the class.
 """
 
 from __future__ import annotations
@@ -17,22 +19,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.keyed import keyed_hash
+from holdfast.operators.class_tables import between_ranks, class_table, with_fold_ends, with_quota
 from holdfast.operators.ranking import hash_places
 
 CLASS_LIMIT = 1000
 
 
-def class_counts(df: DataFrame, target: str) -> dict[object, int]:
-    rows = (
-        df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(CLASS_LIMIT + 1).collect()
-    )
-    if len(rows) > CLASS_LIMIT:
-        raise ValueError(f"'{target}' has more than {CLASS_LIMIT} classes")
+def _few_classes(df: DataFrame, target: str, most: int) -> dict[object, int] | None:
+    """The class counts, or None where there are more than ``most`` classes."""
+    if most < 1:
+        return None
+    rows = df.groupBy(target).agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
     if any(r[target] is None for r in rows):
         raise ValueError(f"'{target}' has nulls")
+    if len(rows) > most:
+        return None
     return {r[target]: r["n"] for r in sorted(rows, key=lambda r: r[target])}
 
 
+def class_counts(df: DataFrame, target: str) -> dict[object, int]:
+    counts = _few_classes(df, target, CLASS_LIMIT)
+    if counts is None:
+        raise ValueError(f"'{target}' has more than {CLASS_LIMIT} classes")
+    return counts
+
+
 def stratified_quota(counts: Mapping[object, int], draws: int) -> dict[object, int]:
     """Share ``draws`` among the classes by largest remainder; equal remainders go to the lower
     class first."""
@@ -89,10 +100,15 @@ def _between_cuts(df: DataFrame, target: str, hashed: Column, ranks: Mapping[obj
 
 def holdout_split(
     df: DataFrame, key: str, target: str, fraction: float, seed: int,
-    *, name: str = "split", held: str = "test", rest: str = "train",
+    *, name: str = "split", held: str = "test", rest: str = "train", literal_classes: int = CLASS_LIMIT,
 ) -> DataFrame:
     """Mark ceil(fraction * n) rows, shared among the classes in proportion, as held out."""
-    counts = class_counts(df, target)
+    counts = _few_classes(df, target, literal_classes)
+    if counts is None:
+        classes = class_table(df, target)
+        draws = math.ceil(fraction * (classes.agg(F.sum("n")).first()[0] or 0))
+        classes = with_quota(classes, draws)
+        return between_ranks(df, target, _order_text(df, key, seed), classes, ["quota"], [held, rest], name)
     quota = stratified_quota(counts, math.ceil(fraction * sum(counts.values())))
     ranks = {c: [q] for c, q in quota.items()}
     return _between_cuts(df, target, _order_text(df, key, seed), ranks, [held, rest], name)
@@ -100,10 +116,19 @@ def holdout_split(
 
 def three_way_split(
     df: DataFrame, key: str, target: str, test_size: float, val_size: float, seed: int,
-    *, name: str = "split",
+    *, name: str = "split", literal_classes: int = CLASS_LIMIT,
 ) -> DataFrame:
     """test / val / train; the validation share is ``val_size`` of the whole table."""
-    counts = class_counts(df, target)
+    counts = _few_classes(df, target, literal_classes)
+    if counts is None:
+        classes = class_table(df, target)
+        n = classes.agg(F.sum("n")).first()[0] or 0
+        draws = math.ceil(test_size * n)
+        classes = with_quota(classes, draws, name="__test").withColumn("__left", F.col("n") - F.col("__test"))
+        classes = with_quota(classes, math.ceil(val_size / (1.0 - test_size) * (n - draws)), "__left", "__val")
+        classes = classes.withColumn("__both", F.col("__test") + F.col("__val"))
+        return between_ranks(df, target, _order_text(df, key, seed), classes, ["__test", "__both"],
+                             ["test", "val", "train"], name)
     n = sum(counts.values())
     test = stratified_quota(counts, math.ceil(test_size * n))
     left = {c: counts[c] - test[c] for c in counts}
@@ -125,12 +150,16 @@ def fold_sizes(counts: Mapping[object, int], k: int) -> dict[object, list[int]]:
 
 
 def stratified_folds(
-    df: DataFrame, key: str, target: str, k: int, seed: int, *, name: str = "fold"
+    df: DataFrame, key: str, target: str, k: int, seed: int, *, name: str = "fold",
+    literal_classes: int = CLASS_LIMIT,
 ) -> DataFrame:
     """Fold numbers 0..k-1, exactly balanced by class."""
     if k < 2:
         raise ValueError(f"at least 2 folds are needed; got {k}")
-    counts = class_counts(df, target)
+    counts = _few_classes(df, target, literal_classes)
+    if counts is None:
+        classes, places = with_fold_ends(class_table(df, target), k)
+        return between_ranks(df, target, _order_text(df, key, "fold", seed), classes, places, list(range(k)), name)
     ends = {}
     for c, sizes in fold_sizes(counts, k).items():
         ends[c] = [sum(sizes[: f + 1]) for f in range(k - 1)]
