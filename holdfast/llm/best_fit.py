@@ -10,7 +10,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import running_start, small_batches
+from holdfast.llm.common import parts_for, running_start, small_batches
 from holdfast.session import stage_table
 
 #: The pre-token pattern of byte-level vocabularies.
@@ -204,7 +204,7 @@ def _planned(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     plan = spark.createDataFrame(rows, "length long, first long, n long, sequence long, offset long")
     chunks = plan.withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(_CHUNK)))
-    ).repartition("length", "chunk", "first")
+    ).repartition(parts_for(spark, sum(row[2] for row in rows)), "length", "chunk", "first")
     items = chunks.withColumn(
         "i", F.explode(F.sequence("chunk", F.least(F.col("chunk") + _CHUNK, F.col("n")) - 1))
     )

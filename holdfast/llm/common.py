@@ -25,6 +25,12 @@ def small_batches(df: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
     return df
 
 
+def parts_for(spark: SparkSession, rows: int, each: int = 1_000_000) -> int:
+    """Partitions for ``rows`` rows about to be made out of few: adaptive execution sees only the few, and
+    would put them in one task if it chose."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // each))
+
+
 def worker_memory() -> dict:
     """A dictionary that lives as long as the Python worker, for what is slow to load; functions travel by value."""
     import sys

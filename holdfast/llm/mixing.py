@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdfast.llm.common import running_start
+from holdfast.llm.common import parts_for, running_start
 from holdfast.session import stage_table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -112,9 +112,10 @@ def slots(sources: DataFrame, seed: int = 0) -> DataFrame:
     The k-th slot of a source holds its block at place k of a permutation of the source's blocks, a
     new one for every pass over the source.
     """
+    total = sources.agg(F.max("slots")).first()[0] or 0
     chunks = sources.filter("quota > 0").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1, F.lit(_CHUNK).cast("long")))
-    ).repartition("source_key", "chunk")
+    ).repartition(parts_for(sources.sparkSession, int(total)), "source_key", "chunk")
     drawn = chunks.withColumn("k", F.explode(
         F.sequence("chunk", F.least(F.col("chunk") + _CHUNK, F.col("quota")) - 1)
     ))
