@@ -8,9 +8,10 @@ from holdfast.catalog.inputs import (
     ALIASES, document_scores, labelled, rounded, scores, snapshot, stored_scores, stored_snapshot,
     with_documents, with_scores, with_snapshot,
 )
-from holdfast.catalog.registry import query
+from holdfast.catalog.registry import ORACLES, query
 from holdfast.operators import class_tables, cleaning, metrics, splitting
 from holdfast.plans.prepare import prepare_model_splits
+from holdfast.plans.records import run_record
 from holdfast.plans.results import data_provenance, results_table, split_profile
 from holdfast.session import stage_table
 from holdfast.sources.snapshot import table
@@ -495,6 +496,26 @@ def _(spark, folder):
     return rounded(df, "value")
 
 
+@query("g21_run_record", f"""
+SELECT 'run-1' AS run_id, section, item, metric, value AS number, CAST(NULL AS VARCHAR) AS text
+FROM ({ORACLES["g21_results_table"]}) UNION ALL
+SELECT 'run-1', 'class_report', "row", metric, CAST(number AS DOUBLE), NULL FROM (
+  UNPIVOT (SELECT "row", precision, recall, f1, CAST(support AS DOUBLE) AS support
+    FROM ({ORACLES["g17_class_report"]})) ON precision, recall, f1, support INTO NAME metric VALUE number)
+UNION ALL SELECT 'run-1', 'run', '', 'model', NULL, 'recency' UNION ALL
+SELECT 'run-1', 'run', '', 'tuned', 0.0::DOUBLE, NULL UNION ALL
+SELECT 'run-1', 'run', '', 'calibrate', NULL, NULL""")
+def _(spark, folder):
+    raw = stage_table(scores(spark, folder), "scores")
+    test = labelled(raw)
+    results = results_table(
+        raw=raw, cleaned=raw.select("churn_probability", "Churn").dropDuplicates(),
+        target="Churn", test_scores=test, oof=None, threshold=0.2,
+    )
+    return rounded(run_record("run-1", results, test_scores=test, threshold=0.2, facts={
+        "model": "recency", "tuned": False, "calibrate": None}), "number")
+
+
 @query("g22_data_provenance", with_snapshot("""
 SELECT (SELECT count(*) FROM snap) AS raw_rows, count(*) AS clean_rows,
   round(avg(Churn::DOUBLE), 6) AS churn_rate

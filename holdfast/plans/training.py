@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import time
 from collections.abc import Mapping, Sequence
@@ -27,6 +28,7 @@ from holdfast.operators.quality import CUSTOMER_RULES, QualityRules, quality_gat
 from holdfast.operators.search import Dimension, propose
 from holdfast.operators.splitting import holdout_split, stratified_folds
 from holdfast.plans.prepare import PreparedSplits, prepare_model_splits
+from holdfast.plans.records import run_record
 from holdfast.plans.results import results_table
 from holdfast.session import stage_table
 from holdfast.sources.bundles import RunBundle, new_run_id, save_bundle
@@ -306,6 +308,7 @@ class TrainingResult:
     oof: OutOfFold
     test_scores: DataFrame
     prepared: PreparedSplits
+    record: DataFrame
 
 
 def train(
@@ -381,12 +384,14 @@ def train(
     ).first()["threshold"]
 
     test = prepared.part("test")
+    scoring_started = time.monotonic()
     scores = stage_table(
         final.model.score(test, PROBABILITY).select(
             ROW_KEY, F.col(target).cast("int").alias(LABEL), PROBABILITY
         ),
         "test-scores",
     )
+    scoring_seconds = time.monotonic() - scoring_started
     assembled = assemble(test, features, target, ROW_KEY)
     bare = ScoringModel(
         PipelineModel(final.model.pipeline.stages[1:]), final.model.calibrator
@@ -406,6 +411,16 @@ def train(
         comparison=comparison, importance=importance,
         run={"best_iteration": final.best_iteration, "train_seconds": final.train_seconds},
     )
+    n_scored = scores.count()
+    record = stage_table(run_record(
+        bundle.run_id, results, raw=raw, test_scores=scores, threshold=float(cut), comparison=comparison,
+        importance=importance, facts={
+            "model": model, "target": target, "threshold_metric": threshold_metric, "calibrate": calibrate,
+            "parameters": json.dumps(chosen.params, sort_keys=True, default=str), "seed": seed, "cv": cv,
+            "tuned": tune, "compared": compare, "gate_skipped": skip_validation,
+            "n_features": len(features), "scored_rows": n_scored, "scoring_seconds": scoring_seconds,
+            "rows_per_second": n_scored / max(scoring_seconds, 1e-9),
+        }), "record")
     if bundle_root is not None:
-        save_bundle(spark, bundle_root, bundle)
-    return TrainingResult(bundle, results, comparison, importance, oof, scores, prepared)
+        save_bundle(spark, bundle_root, bundle, record=record)
+    return TrainingResult(bundle, results, comparison, importance, oof, scores, prepared, record)

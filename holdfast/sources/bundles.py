@@ -19,8 +19,9 @@ from holdfast.operators.models import ScoringModel
 
 RUNS_SCHEMA = (
     "run_id string, kind string, status string, start_time timestamp, model string, "
-    "threshold double, target string"
+    "threshold double, target string, has_record boolean"
 )
+RECORD_SCHEMA = "run_id string, section string, item string, metric string, number double, text string"
 
 
 @dataclass(frozen=True)
@@ -37,8 +38,9 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def save_bundle(spark: SparkSession, root: str, bundle: RunBundle, kind: str = "final") -> None:
-    """Write the parts, then append the row that makes the run visible."""
+def save_bundle(spark: SparkSession, root: str, bundle: RunBundle, kind: str = "final",
+                record: DataFrame | None = None) -> None:
+    """Write the parts and the run's ``record``, then append the row that makes all of them visible at once."""
     base = f"{root.rstrip('/')}/{bundle.run_id}"
     bundle.model.pipeline.write().save(f"{base}/model")
     if bundle.model.calibrator is not None:
@@ -54,9 +56,11 @@ def save_bundle(spark: SparkSession, root: str, bundle: RunBundle, kind: str = "
         "calibrator": bundle.model.calibrator.method if bundle.model.calibrator else None,
     })
     spark.createDataFrame([(state,)], "value string").coalesce(1).write.text(f"{base}/state")
+    if record is not None:
+        record.coalesce(1).write.parquet(f"{base}/record")  # numbers of a run, not rows of a table
     started = dt.datetime.now(dt.timezone.utc)
     row = (bundle.run_id, kind, "FINISHED", started, bundle.model_name, bundle.threshold,
-           bundle.schema.target)
+           bundle.schema.target, record is not None)
     spark.createDataFrame([row], RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(
         f"{root.rstrip('/')}/runs"
     )

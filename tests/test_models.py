@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import random
 
 import numpy as np
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 from rows import customer_rows
 
 from holdfast.operators import boosting, calibration, importance, models, search
-from holdfast.plans import training
+from holdfast.plans import records, training
+from holdfast.plans.records import read_records
 from holdfast.plans.scoring import flagged_count, score_batch, score_files
 from holdfast.session import staging_path
 from holdfast.sources.bundles import RunBundle, load_bundle, runs_table, save_bundle
@@ -63,8 +66,6 @@ def test_latest_finished_final_run_wins(spark, run):
     root = staging_path(spark, "runs")
     with pytest.raises(LookupError, match="train a model first"):
         load_bundle(spark, root)
-    from dataclasses import replace
-
     for run_id, kind in (("a", "final"), ("b", "final"), ("c", "comparison")):
         save_bundle(spark, root, replace(result.bundle, run_id=run_id), kind)
     assert load_bundle(spark, root).run_id == "b"
@@ -403,3 +404,33 @@ def test_bundle_without_calibrator(spark, run):
     root = staging_path(spark, "plain")
     save_bundle(spark, root, plain)
     assert load_bundle(spark, root).model.calibrator is None
+
+
+def test_record_of_a_run_is_stored_with_it(spark, run):
+    root, result = run
+    rows = read_records(spark, root, result.bundle.run_id).collect()
+    found = {(r["section"], r["item"], r["metric"]): (r["number"], r["text"]) for r in rows}
+    assert len(found) == len(rows) and {r["run_id"] for r in rows} == {result.bundle.run_id}
+    assert found["run", "", "model"] == (None, "random_forest")
+    assert found["run", "", "parameters"] == (None, '{"maxDepth": 4, "numTrees": 8}')
+    assert found["run", "", "gate_skipped"] == (1.0, None)
+    assert found["run", "", "scored_rows"] == (36.0, None) and found["run", "", "rows_per_second"][0] > 0
+    assert found["class_report", "accuracy", "support"] == (36.0, None)
+    assert found["input", "", "n_rows"][0] == 180 and "-" in found["input", "", "digest"][1]
+    features = {item for section, item, _ in found if section == "importance"}
+    assert features == set(result.bundle.schema.feature_columns)
+    for r in result.results.collect():
+        assert found[r["section"], r["item"], r["metric"]][0] == pytest.approx(r["value"], nan_ok=True)
+
+
+def test_records_are_seen_with_their_run_only(spark, run):
+    _, result = run
+    root = staging_path(spark, "bundles")
+    assert read_records(spark, root).collect() == []
+    record = records.fact_rows(spark, "run", {"a": 1, "b": "x", "c": None, "d": True}).selectExpr("'one' AS run_id", "*")
+    save_bundle(spark, root, replace(result.bundle, run_id="one"), record=record)
+    save_bundle(spark, root, replace(result.bundle, run_id="two"))
+    record.write.parquet(f"{root}/three/record")  # a run that was stopped before it was finished
+    assert {tuple(r)[3:] for r in read_records(spark, root).collect()} == {
+        ("a", 1.0, None), ("b", None, "x"), ("c", None, None), ("d", 1.0, None)}
+    assert read_records(spark, root, "two").collect() == []
