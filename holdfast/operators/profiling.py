@@ -56,32 +56,89 @@ def duplicate_counts(df: DataFrame, id_column: str) -> DataFrame:
     )
 
 
-def _distinct_texts(limit: int):
-    """A task's distinct (column, text) pairs: a set per column, written out and begun anew at ``limit`` texts."""
+def _kinds(df: DataFrame) -> dict[str, list[tuple[int, Column]]]:
+    """(column_no, values) by what the values travel as: numbers and times as such, all else as texts."""
+    kinds: dict[str, list[tuple[int, Column]]] = {}
+    for i, field in enumerate(df.schema.fields):
+        c, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
+            kinds.setdefault("bigint", []).append((i, c.cast("bigint")))
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            kinds.setdefault("double", []).append((i, c.cast("double")))
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            kinds.setdefault(kind.simpleString(), []).append((i, c))
+        else:
+            kinds.setdefault("string", []).append((i, _identity_text(field)))
+    return kinds
+
+
+def _unique(array: pa.Array, wide: int):
+    """The distinct non-null values of each of ``wide`` columns whose rows lie in ``array`` one after the other.
+
+    Texts come as Arrow arrays, all else as signed 64-bit images, one of zero and one of NaN.
+    """
+    known = array.is_valid().to_numpy(zero_copy_only=False).reshape(-1, wide).T if array.null_count else None
+    texts = None
+    if pa.types.is_string(array.type) or pa.types.is_large_string(array.type):
+        array = array.dictionary_encode()
+        array, texts = array.indices.cast(pa.int64()), array.dictionary
+    if pa.types.is_floating(array.type):
+        values = array.to_numpy(zero_copy_only=False)
+        values = (np.where(np.isnan(values), np.nan, values) + 0.0).view(np.int64)
+    else:
+        array = array.cast(pa.int32()) if pa.types.is_date32(array.type) else array
+        values = array.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+    for j, column in enumerate(values.reshape(-1, wide).T):
+        found = _once([column if known is None else column[known[j]]])
+        yield found if texts is None else texts.take(pa.array(found))
+
+
+def _once(parts: list):
+    """The distinct values of several arrays of one column."""
+    if not isinstance(parts[0], np.ndarray):
+        return pa.chunked_array(parts).unique()
+    values = np.sort(np.concatenate(parts))
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
+def _distinct_pairs(kinds: Sequence[Sequence[int]], limit: int):
+    """A task's distinct (column, value) pairs: the distinct values of its batches are made distinct together when they
+    come to 8 * ``limit`` bytes, and written out if that does not halve them."""
+    def size(part) -> int:
+        return len(part) if isinstance(part, np.ndarray) else len(part) + (part.nbytes >> 3)
+
     def found(batches):
-        seen: dict[int, set] = {}
+        kept: dict[int, list] = {}
         held = 0
         for batch in batches:
-            for i in range(batch.num_columns):
-                have = seen.setdefault(i, set())
-                before = len(have)
-                have.update(batch.column(i).drop_null().unique().to_pylist())
-                held += len(have) - before
+            if not batch.num_rows:
+                continue
+            for columns, lists in zip(kinds, batch.columns):
+                for i, part in zip(columns, _unique(lists.flatten(), len(columns))):
+                    if len(part):
+                        kept.setdefault(i, []).append(part)
+                        held += size(part)
             if held >= limit:
-                yield from _pairs(seen)
-                seen, held = {}, 0
-        yield from _pairs(seen)
+                kept = {i: [_once(parts)] for i, parts in kept.items()}
+                held = sum(size(parts[0]) for parts in kept.values())
+                if 2 * held >= limit:
+                    yield from _pairs(kept)
+                    kept, held = {}, 0
+        yield from _pairs({i: [_once(parts)] for i, parts in kept.items()})
 
     return found
 
 
-def _pairs(seen: dict[int, set], rows: int = 20_000):
-    for i, texts in seen.items():
-        texts = list(texts)
-        for start in range(0, len(texts), rows):
-            part = texts[start:start + rows]
-            yield pa.RecordBatch.from_pydict({
-                "column_no": pa.array([i] * len(part), pa.int32()), "value": pa.array(part, pa.string())})
+def _pairs(kept: dict[int, list], rows: int = 20_000):
+    for i, (values,) in kept.items():
+        for start in range(0, len(values), rows):
+            part = values[start:start + rows]
+            if isinstance(part, np.ndarray):
+                number, text = pa.array(part), pa.nulls(len(part), pa.string())
+            else:
+                number, text = pa.nulls(len(part), pa.int64()), part.cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), i, np.int32)), number, text], names=["column_no", "number", "text"])
 
 
 def _identity_text(field: T.StructField) -> Column:
@@ -98,17 +155,19 @@ def _identity_text(field: T.StructField) -> Column:
     return c.cast("string")
 
 
-def distinct_counts(df: DataFrame, *, approximate: bool = False, held: int = 1_000_000) -> DataFrame:
+def distinct_counts(df: DataFrame, *, approximate: bool = False, held: int = 16_000_000) -> DataFrame:
     """(column_name, n_distinct) of the non-null values, in one scan whatever the number of columns.
 
-    Tasks keep a set of values per column, at most about ``held`` at a time, so that a row is not repeated
-    for every column and only values that a task has not just seen travel, by (column, value).
-    ``approximate=True`` takes sketches instead.
+    Tasks keep the distinct values of every column, at most about 8 * ``held`` bytes at a time, so that a row is not
+    repeated for every column and only values that a task has not just seen travel, by (column, value). Columns go to
+    the tasks' arrays by kind, one list a row; numbers and times stay numbers. ``approximate=True`` takes sketches instead.
     """
     if approximate:
         return sketch_estimates(distinct_sketches(df))
-    texts = df.select(*[_identity_text(f).alias(f"c{i}") for i, f in enumerate(df.schema.fields)])
-    pairs = texts.mapInArrow(_distinct_texts(held), "column_no int, value string")
+    kinds = _kinds(df)
+    lists = df.select(*[F.array(*[c for _, c in columns]).alias(f"k{i}") for i, columns in enumerate(kinds.values())])
+    pairs = lists.mapInArrow(_distinct_pairs([[i for i, _ in columns] for columns in kinds.values()], held),
+                             "column_no int, number long, text string")
     counts = pairs.distinct().groupBy("column_no").agg(F.count(F.lit(1)).alias("n_distinct"))
     return _every_column(df, counts)
 

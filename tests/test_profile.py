@@ -102,6 +102,24 @@ def test_distinct_counts_of_odd_values(spark):
     assert all(r["n_distinct"] == 0 for r in profiling.distinct_counts(df.filter("false")).collect())
 
 
+def test_distinct_counts_keep_numbers_and_times_as_numbers(spark):
+    """A text of every value of a wide table took longer than the rest of the count."""
+    df = spark.sql("""
+        SELECT CAST(id % 5 AS TINYINT) AS tiny, IF(id % 4 = 0, NULL, id) AS gaps, 9007199254740992 + id % 3 AS large,
+          CAST(id % 6 AS FLOAT) AS single, id % 2 = 0 AS flag, date_add(DATE'1969-12-28', CAST(id % 8 AS INT)) AS day,
+          timestampadd(MICROSECOND, id % 9, TIMESTAMP_NTZ'1969-12-31 23:59:59.999995') AS local_time,
+          timestamp_micros(id % 7 - 3) AS time
+        FROM range(0, 4000, 1, 5)""")
+    plan = df.sparkSession._jvm.PythonSQLUtils.explainString(profiling.distinct_counts(df)._jdf.queryExecution(), "simple")
+    assert "as string" not in plan
+    for held in (10, 1_000_000):
+        got = {r["column_name"]: r["n_distinct"] for r in profiling.distinct_counts(df, held=held).collect()}
+        assert got == {"tiny": 5, "gaps": 3000, "large": 3, "single": 6, "flag": 2, "day": 8, "local_time": 9, "time": 7}
+    texts = spark.sql("SELECT IF(id % 3 = 0, NULL, id % 10) AS n, IF(id % 3 = 1, NULL, repeat('x', CAST(id % 20 AS INT))) AS t, "
+                      "CAST(id % 4 AS DECIMAL(30, 2)) AS d FROM range(500)")
+    assert [r["n_distinct"] for r in profiling.distinct_counts(texts, held=50).orderBy("column_name").collect()] == [4, 10, 20]
+
+
 def test_sketches_merge(spark):
     parts = [spark.range(a, a + 30_000).select("id", (F.col("id") % 9).alias("k")) for a in (0, 20_000)]
     both = profiling.distinct_sketches(parts[0]).union(profiling.distinct_sketches(parts[1]))
