@@ -39,6 +39,26 @@ def test_tables_give_what_literals_give(tables, keys):
         assert _shape(many, *many.columns) == _shape(few, *few.columns)
 
 
+@pytest.mark.parametrize("keys", ["unique", "repeated", "missing", "equal"])
+def test_slices_of_many_rows_are_cut_again(tables, keys, monkeypatch):
+    """Rows without a key share the hash of their key: they were sorted in one task."""
+    df = tables[keys].cache()
+    few = splitting.stratified_folds(df, "id", "y", 4, 7)
+    depths, cut = [], class_tables._cut_slices
+
+    def seen(*arguments, **options):
+        cuts = cut(*arguments, **options)
+        depths.append(max(r["m"] for r in cuts.selectExpr("greatest(__m0, __m1, __m2) AS m").collect()))
+        return cuts
+
+    monkeypatch.setattr(class_tables, "_SLICE_ROWS", 20)
+    monkeypatch.setattr(class_tables, "_cut_slices", seen)
+    many = splitting.stratified_folds(df, "id", "y", 4, 7, literal_classes=0)
+    assert _shape(many, *many.columns) == _shape(few, *few.columns)
+    if keys == "missing":
+        assert depths[0] > 100 and depths[-1] <= 5
+
+
 def test_quota_of_many_equal_classes(spark):
     classes = spark.range(5000, numPartitions=3).select(
         F.col("id").alias("y"), F.lit(3).cast("long").alias("n"), F.col("id").alias("place"))
