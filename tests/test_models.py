@@ -433,3 +433,23 @@ def test_records_are_seen_with_their_run_only(spark, run):
     assert {tuple(r)[3:] for r in read_records(spark, root).collect()} == {
         ("a", 1.0, None), ("b", None, "x"), ("c", None, None), ("d", 1.0, None)}
     assert read_records(spark, root, "two").collect() == []
+
+
+def test_blocks_are_read_one_at_a_time():
+    """Whole batches were copied to Python, and one was kept while the next was read."""
+    import pyarrow as pa
+
+    held = []
+
+    def batches():
+        start = pa.total_allocated_bytes()
+        for _ in range(4):
+            held.append(pa.total_allocated_bytes() - start)
+            values = pa.array([bytes(1 << 18)] * 4, pa.binary())
+            batch = pa.RecordBatch.from_arrays([pa.array([0, 1, 2, 3]), values], names=["block", "bins"])
+            del values
+            yield batch
+            del batch
+
+    assert [block["block"] for block in boosting._one_by_one(batches())] == [0, 1, 2, 3] * 4
+    assert held == [0] * 4
