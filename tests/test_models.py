@@ -453,3 +453,25 @@ def test_blocks_are_read_one_at_a_time():
 
     assert [block["block"] for block in boosting._one_by_one(batches())] == [0, 1, 2, 3] * 4
     assert held == [0] * 4
+
+
+def test_models_share_the_inner_splits(spark, monkeypatch):
+    """Every model split the rows outside each fold anew."""
+    from pyspark.ml.feature import SQLTransformer
+
+    made, split = [], training.holdout_split
+
+    def counted(*arguments, **options):
+        made.append(arguments[4])
+        return split(*arguments, **options)
+
+    def constant(chosen, train, held, **options):
+        assert train.columns == held.columns and train.count() > held.count() > 0
+        return SQLTransformer(statement="SELECT *, 0.5D AS prediction FROM __THIS__"), None, None
+
+    monkeypatch.setattr(training, "holdout_split", counted)
+    monkeypatch.setattr(training, "fit_candidate", constant)
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.range(60).selectExpr("id AS row_key", "CAST(id % 3 = 0 AS INT) AS label", "id * 1.0D AS x")).drop("x")
+    assert training.compare_models(rows, cv=2, rounds=2).count() == 3
+    assert sorted(made) == [42, 43]
