@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +77,7 @@ def _kinds(df: DataFrame) -> dict[str, list[tuple[int, Column]]]:
 def _unique(array: pa.Array, wide: int):
     """The distinct non-null values of each of ``wide`` columns whose rows lie in ``array`` one after the other.
 
-    Texts come as Arrow arrays, all else as signed 64-bit images, one of zero and one of NaN.
+    Texts come as Arrow arrays, all else as sorted signed 64-bit images, one of zero and one of NaN.
     """
     known = array.is_valid().to_numpy(zero_copy_only=False).reshape(-1, wide).T if array.null_count else None
     texts = None
@@ -88,7 +90,8 @@ def _unique(array: pa.Array, wide: int):
     else:
         array = array.cast(pa.int32()) if pa.types.is_date32(array.type) else array
         values = array.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-    for j, column in enumerate(values.reshape(-1, wide).T):
+    columns = np.ascontiguousarray(values.reshape(-1, wide).T)
+    for j, column in enumerate(columns):
         found = _once([column if known is None else column[known[j]]])
         yield found if texts is None else texts.take(pa.array(found))
 
@@ -97,16 +100,17 @@ def _once(parts: list):
     """The distinct values of several arrays of one column."""
     if not isinstance(parts[0], np.ndarray):
         return pa.chunked_array(parts).unique()
-    values = np.sort(np.concatenate(parts))
+    values = np.sort(parts[0] if len(parts) == 1 else np.concatenate(parts))
     return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
 
 
-def _distinct_pairs(kinds: Sequence[Sequence[int]], limit: int):
-    """A task's distinct (column, value) pairs: the distinct values of its batches are made distinct together when they
-    come to 8 * ``limit`` bytes, and written out if that does not halve them."""
-    def size(part) -> int:
-        return len(part) if isinstance(part, np.ndarray) else len(part) + (part.nbytes >> 3)
+def _size(part) -> int:
+    return len(part) if isinstance(part, np.ndarray) else len(part) + (part.nbytes >> 3)
 
+
+def _packed_values(kinds: Sequence[Sequence[int]], doubles: set[int], limit: int):
+    """A task's distinct values as (column_no, slice, data): the distinct values of its batches are made distinct together
+    when they come to 8 * ``limit`` bytes, and written out if that does not halve them."""
     def found(batches):
         kept: dict[int, list] = {}
         held = 0
@@ -117,28 +121,126 @@ def _distinct_pairs(kinds: Sequence[Sequence[int]], limit: int):
                 for i, part in zip(columns, _unique(lists.flatten(), len(columns))):
                     if len(part):
                         kept.setdefault(i, []).append(part)
-                        held += size(part)
+                        held += _size(part)
             if held >= limit:
-                kept = {i: [_once(parts)] for i, parts in kept.items()}
-                held = sum(size(parts[0]) for parts in kept.values())
+                held = 0
+                for i, parts in kept.items():
+                    parts[:] = [_once(parts)]
+                    held += _size(parts[0])
                 if 2 * held >= limit:
-                    yield from _pairs(kept)
-                    kept, held = {}, 0
-        yield from _pairs({i: [_once(parts)] for i, parts in kept.items()})
+                    while kept:
+                        i, parts = kept.popitem()
+                        yield from _slices(i, parts[0], i in doubles)
+                    held = 0
+        while kept:
+            i, parts = kept.popitem()
+            yield from _slices(i, _once(parts), i in doubles)
 
     return found
 
 
-def _pairs(kept: dict[int, list], rows: int = 20_000):
-    for i, (values,) in kept.items():
-        for start in range(0, len(values), rows):
-            part = values[start:start + rows]
-            if isinstance(part, np.ndarray):
-                number, text = pa.array(part), pa.nulls(len(part), pa.string())
-            else:
-                number, text = pa.nulls(len(part), pa.int64()), part.cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), i, np.int32)), number, text], names=["column_no", "number", "text"])
+#: A value's slice is a function of the value, so equal values of all tasks meet. Runs of 2 ** _RUN_BITS codes share one,
+#: so that the steps between a slice's codes are short where values lie close; different runs are spread by a hash.
+_SLICE_BITS, _RUN_BITS = 6, 20
+_SLICES = 1 << _SLICE_BITS
+_DECIMAL = 10_000.0
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_HEAD = struct.Struct("<qqQB")
+
+
+def _slices(i: int, values, double: bool):
+    """A column's distinct values as (column_no, slice, data), decimals apart from other doubles."""
+    if not isinstance(values, np.ndarray):
+        slots = pd.util.hash_array(values.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(_SLICES)
+        yield from _dealt(i, values, slots.astype(np.uint8), 0)
+        return
+    others = values
+    if double:  # those with up to four digits after the point travel as whole numbers
+        x = values.view(np.float64)
+        with np.errstate(over="ignore", invalid="ignore"):
+            whole = np.rint(x * _DECIMAL)
+            decimal = (whole / _DECIMAL == x) & (np.abs(whole) < 2.0 ** 53)
+        others = values[~decimal]
+        codes = np.sort(whole[decimal].astype(np.int64))
+        yield from _dealt(i, codes, _slots(codes), 0)
+    yield from _dealt(i, others, _slots(others), _SLICES)
+
+
+def _slots(codes: np.ndarray) -> np.ndarray:
+    return (((codes >> _RUN_BITS).view(np.uint64) * _MIX) >> np.uint64(64 - _SLICE_BITS)).astype(np.uint8)
+
+
+def _dealt(i: int, values, slots: np.ndarray, first: int):
+    order = np.argsort(slots, kind="stable")
+    ends = np.cumsum(np.bincount(slots, minlength=_SLICES))
+    values = values[order] if isinstance(values, np.ndarray) else values.take(pa.array(order))
+    pack = _pack if isinstance(values, np.ndarray) else _pack_texts
+    made = [(first + k, pack(values[start:end])) for k, (start, end) in enumerate(zip(np.r_[0, ends[:-1]], ends)) if end > start]
+    if made:
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.full(len(made), i, np.int32)), pa.array([k for k, _ in made], pa.int32()),
+            pa.array([data for _, data in made], pa.binary())], names=["column_no", "slice", "data"])
+
+
+def _pack(codes: np.ndarray) -> bytes:
+    """Ascending codes as the first one, the common divisor of the steps, and the steps' bytes by place, compressed."""
+    steps = np.diff(codes.view(np.uint64))
+    divisor = max(int(np.gcd.reduce(steps)), 1) if len(steps) else 1
+    if divisor > 1:
+        steps //= np.uint64(divisor)
+    width = max((int(steps.max()).bit_length() + 7) // 8, 1) if len(steps) else 1
+    planes = np.ascontiguousarray(steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return _HEAD.pack(len(steps), int(codes[0]), divisor, width) + pa.compress(pa.py_buffer(planes), "zstd", asbytes=True)
+
+
+def _unpack(data: memoryview) -> np.ndarray:
+    n, first, divisor, width = _HEAD.unpack_from(data)
+    planes = np.frombuffer(pa.decompress(data[_HEAD.size:], n * width, "zstd"), np.uint8).reshape(width, n)
+    steps = np.zeros((n + 1, 8), np.uint8)
+    steps[1:, :width] = planes.T
+    codes = steps.view("<u8").ravel() * np.uint64(divisor)
+    codes[0] = np.int64(first).view(np.uint64)
+    return np.cumsum(codes, dtype=np.uint64).view(np.int64)
+
+
+def _pack_texts(values: pa.Array) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([values.cast(pa.large_string())], names=["text"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack_texts(data: memoryview) -> pa.Array:
+    with pa.ipc.open_stream(pa.py_buffer(data)) as reader:
+        return reader.read_next_batch().column(0)
+
+
+def _counted(texts: set[int], limit: int):
+    """(column_no, n) per slice of rows ordered by (column_no, slice); a slice's values are made distinct as they come."""
+    def counts(batches):
+        key, parts, held = None, [], 0
+        for batch in batches:
+            columns, slots, data = batch.columns
+            for i, k, packed in zip(columns.to_pylist(), slots.to_pylist(), data):
+                if (i, k) != key:
+                    if parts:
+                        yield _count(key[0], parts)
+                    key, parts, held = (i, k), [], 0
+                part = (_unpack_texts if i in texts else _unpack)(memoryview(packed.as_buffer()))
+                parts.append(part)
+                held += _size(part)
+                if held >= limit:
+                    parts = [_once(parts)]
+                    held = _size(parts[0]) // 2  # so that all is not sorted again for every few new ones
+        if parts:
+            yield _count(key[0], parts)
+
+    return counts
+
+
+def _count(i: int, parts: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([len(_once(parts))], pa.int64())], names=["column_no", "n"])
 
 
 def _identity_text(field: T.StructField) -> Column:
@@ -159,17 +261,20 @@ def distinct_counts(df: DataFrame, *, approximate: bool = False, held: int = 16_
     """(column_name, n_distinct) of the non-null values, in one scan whatever the number of columns.
 
     Tasks keep the distinct values of every column, at most about 8 * ``held`` bytes at a time, so that a row is not
-    repeated for every column and only values that a task has not just seen travel, by (column, value). Columns go to
-    the tasks' arrays by kind, one list a row; numbers and times stay numbers. ``approximate=True`` takes sketches instead.
+    repeated for every column. Columns go to the tasks' arrays by kind, one list a row; numbers and times stay numbers.
+    What travels are slices of a column's distinct values, packed: numbers as the compressed steps between them, some
+    bits a value where they lie close. ``approximate=True`` takes sketches instead.
     """
     if approximate:
         return sketch_estimates(distinct_sketches(df))
     kinds = _kinds(df)
     lists = df.select(*[F.array(*[c for _, c in columns]).alias(f"k{i}") for i, columns in enumerate(kinds.values())])
-    pairs = lists.mapInArrow(_distinct_pairs([[i for i, _ in columns] for columns in kinds.values()], held),
-                             "column_no int, number long, text string")
-    counts = pairs.distinct().groupBy("column_no").agg(F.count(F.lit(1)).alias("n_distinct"))
-    return _every_column(df, counts)
+    numbers = {kind: [i for i, _ in columns] for kind, columns in kinds.items()}
+    packed = lists.mapInArrow(_packed_values(list(numbers.values()), set(numbers.get("double", ())), held),
+                              "column_no int, slice int, data binary")
+    counts = packed.repartition("column_no", "slice").sortWithinPartitions("column_no", "slice").mapInArrow(
+        _counted(set(numbers.get("string", ())), held), "column_no int, n long")
+    return _every_column(df, counts.groupBy("column_no").agg(F.sum("n").alias("n_distinct")))
 
 
 def _every_column(df: DataFrame, counts: DataFrame) -> DataFrame:

@@ -120,6 +120,42 @@ def test_distinct_counts_keep_numbers_and_times_as_numbers(spark):
     assert [r["n_distinct"] for r in profiling.distinct_counts(texts, held=50).orderBy("column_name").collect()] == [4, 10, 20]
 
 
+def _written(node) -> int:
+    """Shuffle bytes of an executed plan."""
+    while (kind := node.getClass().getSimpleName()) == "AdaptiveSparkPlanExec" or kind.endswith("QueryStageExec"):
+        node = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan()
+    own = node.metrics().get("shuffleBytesWritten")
+    below = node.children()
+    return (own.get().value() if own.isDefined() else 0) + sum(_written(below.apply(i)) for i in range(below.size()))
+
+
+def test_distinct_values_travel_packed(spark):
+    """A (column, number, text) row of every distinct value took more than ten times the table on disk."""
+    n, columns = 100_000, 12
+    df = spark.range(0, n, 1, 4).select(*[
+        (F.col("id") * 7 + i if i % 2 else F.round((F.col("id") * 7919 % n) / 100 + 900 + i, 2)).alias(f"c{i}") for i in range(columns)])
+    counts = profiling.distinct_counts(df)
+    assert {r["n_distinct"] for r in counts.collect()} == {n}
+    assert 0 < _written(counts._jdf.queryExecution().executedPlan()) < 2 * n * columns
+
+
+def test_packed_values_are_the_same_values():
+    rng = np.random.default_rng(7)
+    low, high = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+    for codes in ([5], [low, high], [low, -1, 0, 1, high], np.arange(70_000) * 86_400_000_000, rng.integers(low, high, 5000)):
+        codes = np.unique(np.array(codes, np.int64))
+        assert (profiling._unpack(memoryview(profiling._pack(codes))) == codes).all()
+
+
+def test_distinct_doubles_of_all_sizes(spark):
+    """Decimals travel as whole numbers; two of them, or one and another double, are never taken for one."""
+    values = [0.0, 1e-4, 1e-5, 0.1 + 0.2, 0.3, float("inf"), float("-inf"), float("nan"), 1e308, -1e308, 5e-324, 1e-310, 9e11, 2.0 ** 53,
+              2.0 ** 53 + 2, -0.0001, 1.00005, 104999.99, 1 / 3, 1e15 + 0.5, *(k / 100 for k in range(1, 3000) if k != 30)]
+    df = spark.createDataFrame([(v,) for v in values] * 3 + [(-0.0,), (None,)], "v double").repartition(7)
+    for held in (10, 1_000_000):
+        assert profiling.distinct_counts(df, held=held).first()["n_distinct"] == len(values)
+
+
 def test_sketches_merge(spark):
     parts = [spark.range(a, a + 30_000).select("id", (F.col("id") % 9).alias("k")) for a in (0, 20_000)]
     both = profiling.distinct_sketches(parts[0]).union(profiling.distinct_sketches(parts[1]))
