@@ -475,3 +475,24 @@ def test_models_share_the_inner_splits(spark, monkeypatch):
         spark.range(60).selectExpr("id AS row_key", "CAST(id % 3 = 0 AS INT) AS label", "id * 1.0D AS x")).drop("x")
     assert training.compare_models(rows, cv=2, rounds=2).count() == 3
     assert sorted(made) == [42, 43]
+
+
+def test_registered_comparison_is_the_whole_job(spark, small, monkeypatch):
+    """It compared 20 trees of depth 6 and 8 rounds with a patience of 4, in 2 folds."""
+    from pyspark.ml.feature import SQLTransformer
+
+    from holdfast.catalog import QUERIES
+
+    fits = []
+
+    def constant(chosen, train, held, *, rounds, early_stopping, **options):
+        made = chosen.estimator()
+        size = (made.getNumTrees(), made.getMaxDepth()) if chosen.name == "random_forest" else (made.getMaxIter(), rounds)
+        fits.append((chosen.name, size, early_stopping))
+        return SQLTransformer(statement="SELECT *, 0.5D AS prediction FROM __THIS__"), None, None
+
+    monkeypatch.setattr(training, "fit_candidate", constant)
+    table = QUERIES["f11_compare_models"](spark, small).collect()
+    assert {r["model"] for r in table} == {c.name for c in models.candidates()}
+    assert sorted(fits) == sorted(5 * [
+        ("boosted_balanced", (2000, 50), True), ("boosted_sampled", (2000, 50), True), ("random_forest", (400, 30), True)])
