@@ -496,3 +496,29 @@ def test_registered_comparison_is_the_whole_job(spark, small, monkeypatch):
     assert {r["model"] for r in table} == {c.name for c in models.candidates()}
     assert sorted(fits) == sorted(5 * [
         ("boosted_balanced", (2000, 50), True), ("boosted_sampled", (2000, 50), True), ("random_forest", (400, 30), True)])
+
+
+def test_boosting_in_one_task_and_by_passes_is_the_same(spark, monkeypatch):
+    """Every round of a small table took about fifteen jobs."""
+    train, held = noisy_rows(spark, 400, 11).repartition(3), noisy_rows(spark, 150, 12)
+    booster = boosting.HistogramBooster(
+        maxIter=30, stepSize=0.3, maxLeaves=6, subsamplingRate=0.7, subsamplingFreq=2, featureShare=0.7, regAlpha=0.01)
+
+    def by_passes(blocks, cuts, options):
+        return boosting._boosted(boosting._Spread(boosting._together(blocks, 1), cuts, options), len(cuts), options)
+
+    asked = []
+    with monkeypatch.context() as patch:
+        patch.setattr(boosting, "_pass", lambda *a: asked.append(a))
+        alone = booster.fit_stopped(train, held, 5)
+        whole = booster.copy({booster.maxIter: 6}).fit_stopped(train)
+    assert not asked
+    monkeypatch.setattr(boosting, "STORE_EVERY", 3)
+    monkeypatch.setattr(boosting, "_boosted_alone", by_passes)
+    for got, wanted in ((alone, booster.fit_stopped(train, held, 5)), (whole, booster.copy({booster.maxIter: 6}).fit_stopped(train))):
+        assert got[1] == wanted[1] and got[2] == pytest.approx(wanted[2])
+        assert [(k, node, s.feature, s.cut, s.left[2]) for k, node, s in got[3]] == [
+            (k, node, s.feature, s.cut, s.left[2]) for k, node, s in wanted[3]]
+        assert [s.gain for _, _, s in got[3]] == pytest.approx([s.gain for _, _, s in wanted[3]])
+        own, other = ([v for t in model._parts()[2] for v in t.value] for model in (got[0], wanted[0]))
+        assert own == pytest.approx(other)
